@@ -105,42 +105,35 @@ def float_text(value: Column) -> Column:
 
     The JVM's own text supplies the digits. It may carry one or two more than needed to read
     the same double back, which only numbers of 16 or 17 digits and the very smallest ones can
-    show, so for those the shorter candidates are tried first.
+    show, so the shorter candidates are tried first.
     """
     size = F.abs(value)
     plain = size.cast("string")
     sign = F.when(value.cast("string").startswith("-"), "-").otherwise("")
+    candidates = F.array(
+        F.when(size < 2.3e-308, F.format_string("%.0e", size)),
+        *[F.format_string(f"%.{digits - 1}e", size) for digits in (15, 16, 17)],
+    )
+    scientific = F.get(F.filter(candidates, lambda text: text.try_cast("double") == size), F.lit(0))
 
     # From 1e-3 to 1e6 the JVM writes no exponent either; most metric values are short.
-    whole = F.when(plain.endswith(".0"), F.substr(plain, F.lit(1), F.length(plain) - 2)).otherwise(plain)
-    rounded = F.coalesce(_if_equal(size, 15), _if_equal(size, 16))
-    middling = F.when(F.length(plain) <= 16, whole).otherwise(
-        F.coalesce(
-            F.regexp_replace(rounded.try_cast("decimal(38,20)").cast("string"), r"\.?0+$", ""), whole
-        )
-    )
-    scientific = F.coalesce(
-        F.when(size < 2.3e-308, _if_equal(size, 1)), rounded, F.format_string("%.16e", size)
-    )
-    leading_zeros = F.concat(
-        F.lit("0.000"),
-        F.regexp_replace(F.replace(scientific, F.lit("."), F.lit("")), "0*e.*$", ""),
+    short = F.when(plain.endswith(".0"), F.substr(plain, F.lit(1), F.length(plain) - 2)).otherwise(plain)
+    long = F.regexp_replace(scientific.try_cast("decimal(38,20)").cast("string"), r"\.?0+$", "")
+    small = F.concat(
+        F.lit("0.000"), F.regexp_replace(F.replace(scientific, F.lit("."), F.lit("")), "0*e.*$", "")
     )
     return (
         F.when(F.isnan(value), "NaN")
         .when(size == float("inf"), F.when(value > 0, "+Inf").otherwise("-Inf"))
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e6)), F.concat(sign, middling))
-        .when((size >= 1e-4) & (size < 1e-3), F.concat(sign, leading_zeros))
+        .when(
+            (size == 0) | ((size >= 1e-3) & (size < 1e6)),
+            F.concat(sign, F.when(F.length(plain) <= 16, short).otherwise(long)),
+        )
+        .when((size >= 1e-4) & (size < 1e-3), F.concat(sign, small))
         .otherwise(F.concat(sign, F.regexp_replace(scientific, r"\.?0*e", "e")))
     )
 
 
-def _if_equal(size: Column, digits: int) -> Column:
-    """``size`` written with that many digits, or null when that reads back as another double."""
-    text = F.format_string(f"%.{digits - 1}e", size)
-    return F.when(text.try_cast("double") == size, text)
-
-
 def escape_sd(value: Column) -> Column:
     r"""Backslash before ``"``, ``\`` and ``]`` in a structured-data value."""
     return F.regexp_replace(F.coalesce(value, F.lit("")), r'(["\\\]])', r"\\$1")
@@ -215,26 +208,23 @@ def is_valid(hostname: Column, app_name: Column, process_id: Column) -> Column:
     )
 
 
-_HEADER = r"(?s)^<(-?\d+)>1 (\S+) (\S+) (\S+) (\S+) (\S+) "
+_PRIORITY = r"^<(-?\d+)>1\z"
 _SD = r'(?s)^(-|(?:\[[^ \]]+(?: [^ =]+="(?:[^"\\\]]|\\.)*")*\])+)(?: (.*))?\z'
 
 
 def parse(message_text: Column) -> Column:
     """Fields of an unframed message; a null struct if the text is not one."""
-    rest = F.regexp_replace(message_text, _HEADER, "")
-
-    def field(group: int) -> Column:
-        return F.regexp_extract(message_text, _HEADER, group)
-
+    fields = F.split(message_text, " ", 7)
+    rest = F.get(fields, F.lit(6))
+    names = ("ts", "hostname", "app", "procid", "msgid")
+    header_ok = F.get(fields, F.lit(0)).rlike(_PRIORITY)
+    for place in range(1, 6):
+        header_ok = header_ok & (F.get(fields, F.lit(place)) != "")
     return F.when(
-        message_text.rlike(_HEADER) & rest.rlike(_SD),
+        header_ok & rest.rlike(_SD),
         F.struct(
-            field(1).cast("int").alias("priority"),
-            field(2).alias("ts"),
-            field(3).alias("hostname"),
-            field(4).alias("app"),
-            field(5).alias("procid"),
-            field(6).alias("msgid"),
+            F.regexp_extract(F.get(fields, F.lit(0)), _PRIORITY, 1).cast("int").alias("priority"),
+            *[F.get(fields, F.lit(place)).alias(name) for place, name in enumerate(names, 1)],
             F.regexp_extract(rest, _SD, 1).alias("sd"),
             F.regexp_extract(rest, _SD, 2).alias("msg"),
         ),

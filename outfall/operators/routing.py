@@ -22,7 +22,12 @@ def prerender(envelopes: DataFrame, trim_fraction: bool = False) -> DataFrame:
 
     An envelope that fans out to many drains is formatted once, and what the join then carries
     is ready text instead of the nested message. One row per message: a gauge envelope has one
-    for each metric, numbered by ``part``; one without metrics keeps a row with no ``tail``.
+    for each metric, numbered by ``part``; one without metrics keeps a row without
+    ``has_message``, because it takes up room in a buffer all the same.
+
+    The lambda in the gauge text keeps this projection out of the generated code of the join
+    that follows. As a part of that code it would be put off to the join's inner loop, and be
+    done over for every binding, in a method too long for the JIT compiler.
     """
     is_log, is_gauge = F.col("kind") == "log", F.col("kind") == "gauge"
     flat = rendered_kinds(envelopes).select(
@@ -48,10 +53,8 @@ def prerender(envelopes: DataFrame, trim_fraction: bool = False) -> DataFrame:
         F.coalesce("part", F.lit(0)).alias("part"),
         F.when(is_gauge, F.col("key")).when(~is_log, F.col("counter.name")).alias("metric"),
         rfc5424.head(priority, rfc5424.timestamp_text(F.col("timestamp_ns"), trim_fraction)).alias("head"),
-        F.when(
-            ~is_gauge | F.col("key").isNotNull(),
-            rfc5424.tail(F.col("source_id"), process_id, structured, text),
-        ).alias("tail"),
+        rfc5424.tail(F.col("source_id"), process_id, structured, text).alias("tail"),
+        (~is_gauge | F.col("key").isNotNull()).alias("has_message"),
         (
             rfc5424.is_valid_part(F.col("source_id"), rfc5424.MAX_APP_NAME)
             & rfc5424.is_valid_part(process_id, rfc5424.MAX_PROCESS_ID)
@@ -68,9 +71,17 @@ def fan_out(
     """Every envelope with every binding of its app that selects its kind.
 
     ``bindings`` has ``kinds`` (see ``with_kinds``). Apps match by equality, so an envelope can
-    never reach a binding of another app.
+    never reach a binding of another app. What depends on the binding alone, ``scheme`` and
+    ``binding_valid``, is worked out here, before a row of it is copied for each envelope.
     """
-    targets = bindings.withColumnRenamed("app_id", "source_id")
+    targets = bindings.select(
+        F.col("app_id").alias("source_id"),
+        "hostname",
+        "drain",
+        "kinds",
+        F.coalesce(urls.scheme(F.col("drain")), F.lit("")).alias("scheme"),
+        rfc5424.is_valid_part(F.col("hostname"), rfc5424.MAX_HOSTNAME).alias("binding_valid"),
+    )
     joined = skew_join(
         envelopes, targets, ["source_id"], spread_by or ["env_id"], "inner", max_broadcast_bytes
     )
@@ -91,15 +102,14 @@ def replica(envelope_key: Column, replicas: int) -> Column:
 
 
 def render(routed: DataFrame) -> DataFrame:
-    """Prerendered envelopes, joined with their bindings, to one row per message.
+    """Prerendered envelopes, joined with their bindings, as one row per message.
 
     ``frame`` has the octet count that stream transports need, and is the bare message for
     https. ``is_valid`` is false where the header breaks a limit of the format.
     """
     text = rfc5424.message(F.col("head"), F.col("hostname"), F.col("tail"))
     return (
-        routed.filter(F.col("tail").isNotNull())
-        .withColumn("scheme", urls.scheme(F.col("drain")))
+        routed.filter("has_message")
         .withColumn("message", text)
         .select(
             "env_id",
@@ -108,9 +118,7 @@ def render(routed: DataFrame) -> DataFrame:
             "scheme",
             "part",
             "metric",
-            (
-                F.col("env_valid") & rfc5424.is_valid_part(F.col("hostname"), rfc5424.MAX_HOSTNAME)
-            ).alias("is_valid"),
+            (F.col("env_valid") & F.col("binding_valid")).alias("is_valid"),
             F.when(F.col("scheme") == "https", F.col("message"))
             .otherwise(rfc5424.frame(F.col("message")))
             .alias("frame"),

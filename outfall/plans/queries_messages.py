@@ -115,7 +115,7 @@ def flt5_kinds_by_drain_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {sql.PARTS} SELECT kind, count(*) AS messages FROM parts GROUP BY kind")
 def flt6_rendered_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = routing.prerender(views.envelopes(spark, sf_dir))
-    return ready.groupBy("kind").agg(F.count("tail").alias("messages"))
+    return ready.groupBy("kind").agg(F.count_if("has_message").alias("messages"))
 
 
 @query(f"WITH {sql.ROUTED} SELECT env_id, app_id, hostname, drain, part, is_valid FROM messages")

@@ -130,9 +130,8 @@ FROM messages GROUP BY is_valid, scheme"""
 )
 def snk1_files_by_scheme(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_dir(spark)
-    rendered = _messages(spark, sf_dir)
-    delivery.write_messages(rendered, out)
-    written = spark.read.schema(rendered.schema).parquet(out)
+    delivery.write_messages(_messages(spark, sf_dir), out)
+    written = delivery.read_messages(spark, out)
     return written.groupBy("is_valid", "scheme").agg(
         F.count(F.lit(1)).alias("messages"), F.sum(F.octet_length("frame")).alias("octets")
     )

@@ -12,6 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Split an input of so few files that a fan-out would leave most cores idle.
+
+    Large tables have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drains of all customers: six kinds of URL start, five kinds of query."""
     key = F.col("c_custkey")
@@ -75,7 +84,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("").alias("unit"), k.alias("value")),
     )
     return (
-        table(spark, sf_dir, "events")
+        _spread(table(spark, sf_dir, "events"), "event_id")
         .withColumn("kind", kind)
         .select(
             key.alias("env_id"),

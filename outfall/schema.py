@@ -77,4 +77,17 @@ WORKER = T.StructType(
     [T.StructField("worker", T.StringType()), T.StructField("healthy", T.BooleanType())]
 )
 HELD = T.StructType([T.StructField("worker", T.StringType()), *BINDING.fields])
+#: A rendered message for one drain; ``frame`` is what goes over the wire.
+MESSAGE = T.StructType(
+    [
+        T.StructField("env_id", T.LongType()),
+        *BINDING.fields,
+        T.StructField("timestamp_ns", T.LongType()),
+        T.StructField("scheme", T.StringType()),
+        T.StructField("part", T.IntegerType()),
+        T.StructField("metric", T.StringType()),
+        T.StructField("is_valid", T.BooleanType()),
+        T.StructField("frame", T.StringType()),
+    ]
+)
 SELF_LOG_COLUMNS = ["source_id", "source_type", "instance_id", "payload"]
