@@ -6,8 +6,11 @@ import os
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import outfall
+
 
 def local_session(cores: str = "8", app_name: str = "outfall") -> SparkSession:
     """A single-machine session for tests and benchmarks. On a cluster, pass in your own."""
@@ -25,6 +28,11 @@ def local_session(cores: str = "8", app_name: str = "outfall") -> SparkSession:
     )
 
 
+def send_code_with_tasks() -> None:
+    """Let Python tasks carry this package's code, for workers that do not have it installed."""
+    cloudpickle.register_pickle_by_value(outfall)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one named by ``spark.checkpoint.dir``.
 

@@ -99,7 +99,8 @@ def _reaches_end(ids: DataFrame, pages: int) -> bool:
     """Follow all links at once, twice as far in every round, until only the end is left."""
     hops = settle(ids.select(F.col("requested_id").alias("at"), F.col("next_id").alias("to")))
     for _ in range(math.ceil(math.log2(max(pages, 2))) + 1):
-        onward = hops.select(F.col("at").alias("to"), F.col("to").alias("further"))
+        # Id 0 as a target means the end; page 0 itself is nobody's next page.
+        onward = hops.filter(F.col("at") != 0).select(F.col("at").alias("to"), F.col("to").alias("further"))
         hops = settle(
             hops.join(onward, "to", "left").select("at", F.coalesce("further", F.lit(0)).alias("to"))
         )
