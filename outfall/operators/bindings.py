@@ -13,8 +13,8 @@ def distinct_bindings(bindings: DataFrame) -> DataFrame:
 
 
 def remove_bindings(held: DataFrame, removed: DataFrame) -> DataFrame:
-    """``held`` without the rows of ``removed``; a row that is not held is ignored."""
-    return _minus(held, removed, BINDING_KEY)
+    """``held``, each once, without ``removed``; a row that is not held is ignored."""
+    return snapshot_diff(held, removed).filter(F.col("action") == "remove").drop("action")
 
 
 def snapshot_diff(held: DataFrame, desired: DataFrame, key: list[str] | None = None) -> DataFrame:
@@ -39,11 +39,3 @@ def snapshot_diff(held: DataFrame, desired: DataFrame, key: list[str] | None = N
         )
     )
 
-
-def _minus(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
-    l, r = left.alias("l"), right.select(*key).dropDuplicates().alias("r")
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
-    matches = same[0]
-    for condition in same[1:]:
-        matches = matches & condition
-    return l.join(r, matches, "left_anti")

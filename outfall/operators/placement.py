@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outfall.operators.bindings import distinct_bindings, snapshot_diff
-from outfall.operators.skew import BROADCAST_BYTES, mark_first, running_start, skew_join
+from outfall.operators.skew import BROADCAST_BYTES, group_edges, mark_first, running_start, skew_join
 from outfall.schema import BINDING_KEY
+from outfall.session import settle
 
 #: Workers that serve one binding at the same time.
 COPIES = 2
@@ -121,7 +122,7 @@ def rebalance(
     stays = F.when(
         F.col("_wanted"), F.slice(_preference(F.col("_held"), binding_text()), 1, copies)
     ).otherwise(F.array().cast("array<string>"))
-    state = state.withColumn("_kept", stays)
+    state = settle(state.withColumn("_kept", stays))
 
     loads = (
         state.select(F.explode("_kept").alias("worker"), F.lit(1).alias("_one"))
@@ -190,13 +191,9 @@ def cap_workers(
     first, then new ones by arrival; the key decides between equals.
     """
     order = F.struct("is_new", "arrival", *BINDING_KEY)
+    edges = group_edges(assignment, ["worker"], order, limit, BINDING_KEY, max_broadcast_bytes)
     return mark_first(
-        assignment,
-        ["worker"],
-        order,
-        limit,
-        spread_by=BINDING_KEY,
-        max_broadcast_bytes=max_broadcast_bytes,
+        assignment, edges, ["worker"], order, BINDING_KEY, max_broadcast_bytes
     ).withColumnRenamed("is_first", "is_accepted")
 
 

@@ -69,26 +69,34 @@ def skew_join(
     return spread.join(copies, [*on, "_lane"], how).drop("_lane")
 
 
-def rank_boundary(
-    df: DataFrame, keys: list[str], rank_by: Column, limit: int, spread_by: list[str]
+def group_edges(
+    df: DataFrame,
+    keys: list[str],
+    rank_by: Column,
+    limit: int,
+    spread_by: list[str],
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """For every group of more than ``limit`` rows: its size and its ``limit``-th smallest rank.
 
-    Returns ``keys``, ``_n`` and ``_edge``. ``rank_by`` must tell the rows of a group apart.
-    Only the keys and the rank are shuffled. A group is first ranked in parts, about as many
-    as make the two rounds equally large, and only the first ``limit`` of each part go on.
+    Returns ``keys``, ``_n`` and ``_edge``, written to the shared folder. ``rank_by`` must tell
+    the rows of a group apart. Only the keys and the rank are shuffled. A group is first ranked
+    in parts, about as many as make the two rounds equally large, and only the first ``limit``
+    of each part go on to the second.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    over = settle(counts.filter(F.col("_n") > limit))
     if limit <= 0:
-        return counts.withColumn("_edge", F.lit(None).cast(df.select(rank_by).schema[0].dataType))
-    over = counts.filter(F.col("_n") > limit).withColumn(
-        "_ways", F.ceil(F.sqrt(F.col("_n") / limit)).cast("long")
-    )
+        nowhere = F.lit(None).cast(df.select(rank_by).schema[0].dataType)
+        return over.withColumn("_edge", nowhere)
+    split = over.withColumn("_parts", F.ceil(F.sqrt(F.col("_n") / limit)).cast("long"))
     narrow = df.select(*keys, rank_by.alias("_edge"), F.xxhash64(*spread_by).alias("_spread"))
-    parts = narrow.join(over, keys).withColumn("_part", F.pmod("_spread", "_ways"))
+    parts = skew_join(narrow, split, keys, ["_spread"], "inner", max_broadcast_bytes).withColumn(
+        "_part", F.pmod("_spread", "_parts")
+    )
     in_part = Window.partitionBy(*keys, "_part").orderBy("_edge")
     in_group = Window.partitionBy(*keys).orderBy("_edge")
-    return (
+    return settle(
         parts.withColumn("_rank", F.row_number().over(in_part))
         .filter(F.col("_rank") <= limit)
         .withColumn("_rank", F.row_number().over(in_group))
@@ -99,20 +107,16 @@ def rank_boundary(
 
 def mark_first(
     df: DataFrame,
+    edges: DataFrame,
     keys: list[str],
     rank_by: Column,
-    limit: int,
     spread_by: list[str],
-    units: Column | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Add ``is_first``: whether a row is among the ``limit`` first of its group.
+    """Add ``is_first``: whether a row is before or at the edge of its group.
 
-    Every row is returned. Groups within the limit are not ranked. With ``units``, only the
-    rows for which it holds count towards the limit; rows of equal rank share their fate.
+    Every row is returned. All rows of a group without an edge are first.
     """
-    counted = df if units is None else df.filter(units)
-    edges = settle(rank_boundary(counted, keys, rank_by, limit, spread_by))
     joined = skew_join(df, edges, keys, spread_by, "left", max_broadcast_bytes)
     within = F.coalesce(rank_by <= F.col("_edge"), F.lit(False))
     return joined.withColumn("is_first", F.col("_n").isNull() | within).drop("_n", "_edge")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from outfall.functions import rfc5424
 from outfall.operators import metrics, routing, selflogs
-from outfall.operators.buffer import bound_buffers, lost_messages
+from outfall.operators.buffer import lost_messages, mark_buffered, overruns
 from outfall.operators.selectors import with_kinds
 from outfall.plans import oracle_views as sql
 from outfall.plans import views
@@ -166,7 +166,8 @@ lost AS (SELECT app_id, hostname, drain, count(*) - {_BUFFER} AS missed FROM pai
 
 @query(f"WITH {_BUFFERED} SELECT env_id, app_id, hostname, drain, is_buffered FROM buffered")
 def rank7_bounded_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = bound_buffers(_routed(spark, sf_dir), _BUFFER)
+    routed = _routed(spark, sf_dir)
+    marked = mark_buffered(routed, overruns(routed, _BUFFER))
     return marked.filter(F.col("part") == 0).select("env_id", *BINDING_KEY, "is_buffered")
 
 
@@ -178,14 +179,20 @@ JOIN (SELECT env_id, unnest(CASE WHEN kind = 'gauge' THEN [0, 1] ELSE [0] END) A
 )
 def rank7_buffered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All parts of an envelope share its fate. The edges are joined by shuffle here."""
-    marked = bound_buffers(_routed(spark, sf_dir), _BUFFER, max_broadcast_bytes=0)
+    routed = _routed(spark, sf_dir)
+    overrun = overruns(routed, _BUFFER, max_broadcast_bytes=0)
+    marked = mark_buffered(routed, overrun, max_broadcast_bytes=0)
     kept = marked.filter("is_buffered")
     return kept.select("env_id", *BINDING_KEY, F.col("part").cast("long").alias("part"))
 
 
+def _lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lost_messages(overruns(_routed(spark, sf_dir), _BUFFER), _BUFFER)
+
+
 @query(f"WITH {_BUFFERED} SELECT 'dropped' AS name, CAST(sum(missed) AS BIGINT) AS delta FROM lost")
 def agg3_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.dropped(lost_messages(_routed(spark, sf_dir), _BUFFER))
+    return metrics.dropped(_lost(spark, sf_dir))
 
 
 @query(
@@ -195,7 +202,7 @@ SELECT app_id AS source_id, e.source_type AS source_type, e.instance_id AS insta
     unnest([{{'source_type': 'LGR', 'instance_id': ''}}, {{'source_type': 'SYS', 'instance_id': '3'}}]) AS e FROM lost)"""
 )
 def log6_lost_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selflogs.lost_message_logs(lost_messages(_routed(spark, sf_dir), _BUFFER), "3")
+    return selflogs.lost_message_logs(_lost(spark, sf_dir), "3")
 
 
 @query(

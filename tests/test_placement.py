@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from outfall.operators import metrics, placement, selflogs
-from outfall.operators.skew import mark_first, running_start
+from outfall.operators.skew import group_edges, mark_first, running_start
 from outfall.schema import BINDING, HELD, WORKER
 
 
@@ -133,7 +133,8 @@ def test_mark_first_against_brute_force(spark, limit, broadcast):
     rng = random.Random(limit)
     rows = [(rng.choice("aaaabc"), i, rng.random()) for i in range(800)]
     df = spark.createDataFrame(rows, "k string, i int, r double")
-    marked = mark_first(df, ["k"], F.col("r"), limit, ["i"], max_broadcast_bytes=broadcast).collect()
+    edges = group_edges(df, ["k"], F.col("r"), limit, ["i"], broadcast)
+    marked = mark_first(df, edges, ["k"], F.col("r"), ["i"], broadcast).collect()
     first = {i for k in "abc" for i in [x[1] for x in sorted((r for r in rows if r[0] == k), key=lambda x: x[2])[:limit]]}
     assert len(marked) == len(rows)
     assert {r["i"] for r in marked if r["is_first"]} == first

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from outfall.operators import metrics, routing, selflogs
-from outfall.operators.buffer import bound_buffers, lost_messages
+from outfall.operators.buffer import lost_messages, mark_buffered, overruns
 from outfall.operators.selectors import with_kinds
 from outfall.operators.skew import fits_broadcast, skew_join
 from outfall.schema import BINDING, ENVELOPE
@@ -80,12 +80,13 @@ def test_buffer_keeps_the_newest_envelopes(spark, broadcast):
     pairs = routed(
         spark, envelopes, [("busy", "syslog://h?drain-type=all"), ("calm", "syslog://h?drain-type=all")]
     )
-    marked = bound_buffers(pairs, 20, max_broadcast_bytes=broadcast).collect()
+    overrun = overruns(pairs, 20, broadcast)
+    marked = mark_buffered(pairs, overrun, broadcast).collect()
     order = sorted(((e[3], e[0]) for e in envelopes if e[1] == "busy"), reverse=True)
     kept = {i for _, i in order[:20]} | set(range(100, 110))
     assert {r["env_id"] for r in marked if r["is_buffered"]} == kept
     assert len(marked) == 100 + 10 + 10 + 1
-    lost = lost_messages(pairs, 20)
+    lost = lost_messages(overrun, 20)
     assert [(r["app_id"], r["missed"]) for r in lost.collect()] == [("busy", 86)]
     assert metrics.dropped(lost).first()["delta"] == 86
     logs = sorted(tuple(r) for r in selflogs.lost_message_logs(lost, "3").collect())
