@@ -76,9 +76,7 @@ def fan_out(
     """
     targets = bindings.select(
         F.col("app_id").alias("source_id"),
-        "hostname",
-        "drain",
-        "kinds",
+        *[c for c in bindings.columns if c != "app_id"],
         F.coalesce(urls.scheme(F.col("drain")), F.lit("")).alias("scheme"),
         rfc5424.is_valid_part(F.col("hostname"), rfc5424.MAX_HOSTNAME).alias("binding_valid"),
     )

@@ -76,17 +76,20 @@ def group_edges(
     limit: int,
     spread_by: list[str],
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """For every group of more than ``limit`` rows: its size and its ``limit``-th smallest rank.
 
     Returns ``keys``, ``_n`` and ``_edge``, written to the shared folder. ``rank_by`` must tell
     the rows of a group apart. Only the keys and the rank are shuffled. A group is first ranked
     in parts, about as many as make the two rounds equally large, and only the first ``limit``
-    of each part go on to the second.
+    of each part go on to the second. ``counts`` (``keys``, ``_n``) may be given if there is a
+    cheaper way to them.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if counts is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     over = settle(counts.filter(F.col("_n") > limit))
-    if limit <= 0:
+    if limit <= 0 or over.isEmpty():
         nowhere = F.lit(None).cast(df.select(rank_by).schema[0].dataType)
         return over.withColumn("_edge", nowhere)
     split = over.withColumn("_parts", F.ceil(F.sqrt(F.col("_n") / limit)).cast("long"))

@@ -70,7 +70,9 @@ def refresh(
 
     if held is None:
         held = held_copies(spark, state_dir)
-    validated = write(validate_bindings(bindings, dns, ranges), "validated")
+    # Several steps read the bindings; the pages are parsed for them once.
+    fetched = write(bindings, "fetched")
+    validated = write(validate_bindings(fetched, dns, ranges), "validated")
     kept = kept_bindings(validated)
     moves = write(rebalance(held, kept, workers, copies), "moves")
     wanted = moves.filter(F.col("action") != "remove").select(

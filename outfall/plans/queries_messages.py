@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from outfall.functions import rfc5424
 from outfall.operators import metrics, routing, selflogs
-from outfall.operators.buffer import lost_messages, mark_buffered, overruns
+from outfall.operators.buffer import is_buffered, lost_messages, with_buffer_edges
 from outfall.operators.selectors import with_kinds
 from outfall.plans import oracle_views as sql
 from outfall.plans import views
@@ -164,11 +164,15 @@ lost AS (SELECT app_id, hostname, drain, count(*) - {_BUFFER} AS missed FROM pai
   GROUP BY app_id, hostname, drain HAVING count(*) > {_BUFFER})"""
 
 
+def _with_edges(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return with_buffer_edges(views.envelopes(spark, sf_dir), _selected(spark, sf_dir), _BUFFER, **options)
+
+
 @query(f"WITH {_BUFFERED} SELECT env_id, app_id, hostname, drain, is_buffered FROM buffered")
 def rank7_bounded_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = _routed(spark, sf_dir)
-    marked = mark_buffered(routed, overruns(routed, _BUFFER))
-    return marked.filter(F.col("part") == 0).select("env_id", *BINDING_KEY, "is_buffered")
+    ready = routing.prerender(views.envelopes(spark, sf_dir)).filter(F.col("part") == 0)
+    routed = routing.fan_out(ready, _with_edges(spark, sf_dir))
+    return routed.select("env_id", *BINDING_KEY, is_buffered().alias("is_buffered"))
 
 
 @query(
@@ -178,16 +182,15 @@ JOIN (SELECT env_id, unnest(CASE WHEN kind = 'gauge' THEN [0, 1] ELSE [0] END) A
   ON p.env_id = b.env_id WHERE b.is_buffered"""
 )
 def rank7_buffered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All parts of an envelope share its fate. The edges are joined by shuffle here."""
-    routed = _routed(spark, sf_dir)
-    overrun = overruns(routed, _BUFFER, max_broadcast_bytes=0)
-    marked = mark_buffered(routed, overrun, max_broadcast_bytes=0)
-    kept = marked.filter("is_buffered")
+    """All parts of an envelope share its fate. Every join is by shuffle here."""
+    targets = _with_edges(spark, sf_dir, max_broadcast_bytes=0)
+    ready = routing.prerender(views.envelopes(spark, sf_dir))
+    kept = routing.fan_out(ready, targets, max_broadcast_bytes=0).filter(is_buffered())
     return kept.select("env_id", *BINDING_KEY, F.col("part").cast("long").alias("part"))
 
 
 def _lost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lost_messages(overruns(_routed(spark, sf_dir), _BUFFER), _BUFFER)
+    return lost_messages(_with_edges(spark, sf_dir), _BUFFER)
 
 
 @query(f"WITH {_BUFFERED} SELECT 'dropped' AS name, CAST(sum(missed) AS BIGINT) AS delta FROM lost")

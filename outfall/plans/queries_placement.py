@@ -12,6 +12,7 @@ from outfall.plans import oracle_views as sql
 from outfall.plans.registry import query
 from outfall.schema import BINDING_KEY
 from outfall.session import shared_dir
+from outfall.sources.drain_table import read_pages
 
 #: Cap of bindings per worker in the cap queries: some workers are over it, some are not.
 _CAP = 420
@@ -142,8 +143,9 @@ SELECT worker, app_id, hostname, drain FROM indexed JOIN numbered
 )
 def rank5_failed_fetch_changes_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A term on the whole snapshot, then one on a snapshot with a refused page."""
-    state = shared_dir(spark)
-    pages = views.landed_pages(spark, sf_dir)
+    state, landing = shared_dir(spark), shared_dir(spark)
+    views.landed_pages(spark, sf_dir).write.json(landing)
+    pages = read_pages(spark, landing)
     refused = pages.withColumn("status", F.when(F.col("requested_id") == 0, 500).otherwise(200))
     tables = (views.page_dns(spark, sf_dir), views.ranges(spark, sf_dir), views.workers(spark, sf_dir))
     drain_job.refresh(pages, *tables, state_dir=state, max_bindings=10**9)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from outfall.operators import metrics, routing, selflogs
-from outfall.operators.buffer import lost_messages, mark_buffered, overruns
+from outfall.operators.buffer import is_buffered, lost_messages, with_buffer_edges
 from outfall.operators.selectors import with_kinds
 from outfall.operators.skew import fits_broadcast, skew_join
 from outfall.schema import BINDING, ENVELOPE
@@ -77,16 +77,17 @@ def test_buffer_keeps_the_newest_envelopes(spark, broadcast):
     envelopes = [log(i, "busy", ns=rng.randrange(40)) for i in range(100)] + [log(i, "calm") for i in range(100, 110)]
     envelopes += [gauge(200 + i, "busy", {"a": ("u", 1.0), "b": ("u", 2.0)}) for i in range(5)]
     envelopes += [gauge(300, "busy", {})]
-    pairs = routed(
-        spark, envelopes, [("busy", "syslog://h?drain-type=all"), ("calm", "syslog://h?drain-type=all")]
-    )
-    overrun = overruns(pairs, 20, broadcast)
-    marked = mark_buffered(pairs, overrun, broadcast).collect()
+    drains = [("busy", "syslog://h?drain-type=all"), ("calm", "syslog://h?drain-type=all")]
+    bindings = with_kinds(spark.createDataFrame([(a, "h", d) for a, d in drains], BINDING), True)
+    env = spark.createDataFrame(envelopes, ENVELOPE)
+    targets = with_buffer_edges(env, bindings, 20, broadcast)
+    pairs = routing.fan_out(routing.prerender(env), targets, max_broadcast_bytes=broadcast)
+    marked = pairs.withColumn("is_buffered", is_buffered()).collect()
     order = sorted(((e[3], e[0]) for e in envelopes if e[1] == "busy"), reverse=True)
     kept = {i for _, i in order[:20]} | set(range(100, 110))
     assert {r["env_id"] for r in marked if r["is_buffered"]} == kept
     assert len(marked) == 100 + 10 + 10 + 1
-    lost = lost_messages(overrun, 20)
+    lost = lost_messages(targets, 20)
     assert [(r["app_id"], r["missed"]) for r in lost.collect()] == [("busy", 86)]
     assert metrics.dropped(lost).first()["delta"] == 86
     logs = sorted(tuple(r) for r in selflogs.lost_message_logs(lost, "3").collect())
@@ -94,6 +95,21 @@ def test_buffer_keeps_the_newest_envelopes(spark, broadcast):
     assert logs == [("busy", "LGR", "", text), ("busy", "SYS", "3", text)]
 
 
+def test_selections_of_one_app_have_buffers_of_their_own(spark):
+    envelopes = [log(i, "a") for i in range(12)] + [gauge(100 + i, "a", {"m": ("u", 1.0)}) for i in range(5)]
+    drains = ["syslog://h", "https://h", "syslog://h?drain-type=metrics", "syslog://h?drain-type=all"]
+    bindings = with_kinds(spark.createDataFrame([("a", "h", d) for d in drains], BINDING), True)
+    env = spark.createDataFrame(envelopes, ENVELOPE)
+    targets = with_buffer_edges(env, bindings, 10)
+    assert {r["drain"]: r["missed"] for r in lost_messages(targets, 10).collect()} == {
+        "syslog://h": 2, "https://h": 2, "syslog://h?drain-type=all": 7,
+    }
+    kept = routing.fan_out(routing.prerender(env), targets).filter(is_buffered()).groupBy("drain").count()
+    assert {r["drain"]: r["count"] for r in kept.collect()} == dict(zip(drains, [10, 10, 5, 10]))
+    full = with_buffer_edges(env, bindings, 0)
+    assert routing.fan_out(routing.prerender(env), full).filter(is_buffered()).count() == 0
+
+
 def test_self_logs_reach_the_drains_of_the_app(spark):
     lost = spark.createDataFrame([("a", "h", "syslog://h", 5)], "app_id string, hostname string, drain string, missed long")
     logs = selflogs.as_envelopes(selflogs.lost_message_logs(lost, "3"), F.lit(0), F.monotonically_increasing_id())
