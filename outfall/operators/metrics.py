@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outfall.schema import BINDING_KEY
 
 
 def ingress(received: DataFrame) -> DataFrame:
@@ -108,7 +107,3 @@ def pulse_counters(counters: DataFrame, interval: str = "1 minute") -> DataFrame
         .agg(F.sum("delta").alias("delta"))
         .select(F.col("window.start").alias("start"), "name", "delta")
     )
-
-
-def rows_per_binding(messages: DataFrame) -> DataFrame:
-    return messages.groupBy(*BINDING_KEY).agg(F.count(F.lit(1)).alias("messages"))

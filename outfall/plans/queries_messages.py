@@ -20,9 +20,6 @@ from outfall.streaming.delivery import backoff_wait_ms
 _BUFFER = 40
 _REPLICAS = 2
 
-_LOG_TEXT = "payload"
-
-
 def _selected(spark: SparkSession, sf_dir: str, metrics_enabled: bool = True) -> DataFrame:
     return with_kinds(views.bindings(spark, sf_dir).select(*BINDING_KEY), metrics_enabled)
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outfall.operators import routing
-from outfall.operators.selectors import with_kinds
 from outfall.plans import oracle_views as sql
 from outfall.plans import views
 from outfall.plans.queries_messages import _BUFFER, _BUFFERED, _messages
@@ -17,7 +15,6 @@ from outfall.sources.envelopes import stream_envelopes
 from outfall.streaming import delivery, fanout
 from outfall.streaming.sinks import TRIES, Target, with_retry
 
-_MESSAGES = "env_id", *BINDING_KEY, "part", "frame"
 _ALL_MESSAGES = f"WITH {sql.ROUTED} SELECT env_id, app_id, hostname, drain, part, frame FROM messages"
 
 

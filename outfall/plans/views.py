@@ -180,11 +180,6 @@ def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_ranges(half.unionByName(one))
 
 
-def no_dns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A lookup table without the hosts of ``bindings``, which are all IP addresses."""
-    return page_dns(spark, sf_dir)
-
-
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drain table as API pages of 400 customers each, all drains of an app with one hostname."""
     page = F.floor(F.col("custkey") / 400).cast("long")

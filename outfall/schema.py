@@ -90,4 +90,3 @@ MESSAGE = T.StructType(
         T.StructField("frame", T.StringType()),
     ]
 )
-SELF_LOG_COLUMNS = ["source_id", "source_type", "instance_id", "payload"]
