@@ -7,8 +7,5 @@ from outfall.plans import (  # noqa: F401
     queries_streams,
 )
 from outfall.plans.registry import CHECKS, QUERIES
-from outfall.session import send_code_with_tasks
-
-send_code_with_tasks()
 
 __all__ = ["CHECKS", "QUERIES"]

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from outfall.session import send_code_with_tasks
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,6 +19,7 @@ def query(check: str | None = None) -> Callable[[Query], Query]:
 
     def add(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            send_code_with_tasks(spark)
             # The sample tables hold zone-less times that mean UTC.
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return build(spark, sf_dir)

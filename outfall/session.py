@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import outfall
 
+_sent: dict[str, str] = {}
+
 
 def local_session(cores: str = "8", app_name: str = "outfall") -> SparkSession:
     """A single-machine session for tests and benchmarks. On a cluster, pass in your own."""
@@ -28,9 +31,27 @@ def local_session(cores: str = "8", app_name: str = "outfall") -> SparkSession:
     )
 
 
-def send_code_with_tasks() -> None:
-    """Let Python tasks carry this package's code, for workers that do not have it installed."""
-    cloudpickle.register_pickle_by_value(outfall)
+def send_code_with_tasks(spark: SparkSession) -> None:
+    """Let Python tasks import this package, for workers that do not have it installed.
+
+    Spark hands the archive to every worker, once per application.
+    """
+    context = spark.sparkContext
+    if _sent.get("application") == context.applicationId:
+        return
+    home = os.path.dirname(os.path.abspath(outfall.__file__))
+    # The driver serves the file for as long as it runs.
+    folder = tempfile.TemporaryDirectory(prefix="outfall-code-")
+    atexit.register(folder.cleanup)
+    archive = os.path.join(folder.name, f"outfall-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for path, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(path, name)
+                    packed.write(file, os.path.relpath(file, os.path.dirname(home)))
+    context.addPyFile(archive)
+    _sent["application"] = context.applicationId
 
 
 def shared_dir(spark: SparkSession) -> str:

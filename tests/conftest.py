@@ -10,9 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from outfall.session import local_session, send_code_with_tasks
 
-    send_code_with_tasks()
     session = local_session("4", "outfall-tests")
     session.sparkContext.setLogLevel("ERROR")
+    send_code_with_tasks(session)
     yield session
     session.stop()
 
