@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outfall.llm import bpe, exact_dedup, mixing, repetition, sharding, simhash, token_files
-from outfall.session import shared_dir
+from outfall.llm import bpe, exact_dedup, kneser_ney, mixing, pii, repetition, sentence_spans, sharding, simhash, token_files
+from outfall.session import send_code_with_tasks, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -28,8 +28,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = build
-    return build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        send_code_with_tasks(spark)
+        return build(spark, sf_dir)
+
+    run.__name__, run.__doc__ = build.__name__, build.__doc__
+    QUERIES[build.__name__] = run
+    return run
 
 
 @query
@@ -49,6 +54,17 @@ FROM t
 """
 
 
+@query
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(documents(spark, sf_dir))
+
+
+@query
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose sentences, with what is left of them and where the repeats come first."""
+    return sentence_spans.cleaned(documents(spark, sf_dir))
+
+
 @query
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(documents(spark, sf_dir))
@@ -63,6 +79,17 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good and not toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return labels.filter("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
+
+
+@query
+def op6_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.perplexities(documents(spark, sf_dir), trusted_documents(spark, sf_dir)).drop("tag")
+
+
 @query
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(documents(spark, sf_dir), shingle=3)
