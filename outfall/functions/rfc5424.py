@@ -213,9 +213,15 @@ _SD = r'(?s)^(-|(?:\[[^ \]]+(?: [^ =]+="(?:[^"\\\]]|\\.)*")*\])+)(?: (.*))?\z'
 
 
 def parse(message_text: Column) -> Column:
-    """Fields of an unframed message; a null struct if the text is not one."""
-    fields = F.split(message_text, " ", 7)
-    rest = F.get(fields, F.lit(6))
+    """Fields of an unframed message; a null struct if the text is not one.
+
+    Regular expressions see the header and the structured data only. What follows is cut off by
+    its place, so bytes that are not UTF-8 come back as they are.
+    """
+    header = F.substring_index(message_text, " ", 6)
+    fields = F.split(header, " ", -1)
+    rest = _bytes_from(message_text, F.octet_length(header) + 2)
+    sd = F.regexp_extract(rest, _SD, 1)
     names = ("ts", "hostname", "app", "procid", "msgid")
     header_ok = F.get(fields, F.lit(0)).rlike(_PRIORITY)
     for place in range(1, 6):
@@ -225,19 +231,22 @@ def parse(message_text: Column) -> Column:
         F.struct(
             F.regexp_extract(F.get(fields, F.lit(0)), _PRIORITY, 1).cast("int").alias("priority"),
             *[F.get(fields, F.lit(place)).alias(name) for place, name in enumerate(names, 1)],
-            F.regexp_extract(rest, _SD, 1).alias("sd"),
-            F.regexp_extract(rest, _SD, 2).alias("msg"),
+            sd.alias("sd"),
+            _bytes_from(rest, F.octet_length(sd) + 2).alias("msg"),
         ),
     )
 
 
 def unframe(frame_text: Column) -> Column:
     """The message of one framed text, or null when the count does not match its bytes."""
-    body = F.regexp_replace(frame_text, r"^\d+ ", "")
-    declared = F.regexp_extract(frame_text, r"^(\d+) ", 1)
-    return F.when(
-        (declared != "") & (declared == F.octet_length(body).cast("string")), body
-    )
+    declared = F.regexp_extract(_bytes_from(frame_text, F.lit(1), 12), r"^(\d+) ", 1)
+    body = _bytes_from(frame_text, F.octet_length(declared) + 2)
+    return F.when((declared != "") & (declared == F.octet_length(body).cast("string")), body)
+
+
+def _bytes_from(text: Column, start: Column, length: int = 2**31 - 1) -> Column:
+    """Bytes of a text from a place on, counted from 1, as text and without decoding them."""
+    return F.substr(text.cast("binary"), start, F.lit(length)).cast("string")
 
 
 def sd_param(structured_data: Column, name: str) -> Column:

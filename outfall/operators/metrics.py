@@ -12,11 +12,12 @@ def ingress(received: DataFrame) -> DataFrame:
     return received.agg(F.count(F.lit(1)).alias("delta")).select(F.lit("ingress").alias("name"), "delta")
 
 
-def egress(messages: DataFrame) -> DataFrame:
-    """Messages, not envelopes, written per scheme."""
+def egress(outcomes: DataFrame) -> DataFrame:
+    """Messages, not envelopes, that were written, per scheme, from the outcomes of sending."""
     return (
-        messages.groupBy("scheme")
-        .agg(F.count(F.lit(1)).alias("delta"))
+        outcomes.filter(F.col("sent") > 0)
+        .groupBy("scheme")
+        .agg(F.sum("sent").cast("long").alias("delta"))
         .select(F.lit("egress").alias("name"), "scheme", "delta")
     )
 

@@ -60,8 +60,9 @@ def unreadable_drain_logs(bindings: DataFrame, index: str) -> DataFrame:
 
 
 def drain_type_logs(selected: DataFrame, index: str) -> DataFrame:
+    """A URL that cannot be read has no drain type to complain about."""
     return _rows(
-        selected.filter(~F.col("drain_type_ok")), F.lit(INVALID_DRAIN_TYPE), "SYS", F.lit(index)
+        selected.filter(~F.col("drain_type_ok") & urls.is_readable(F.col("drain"))), F.lit(INVALID_DRAIN_TYPE), "SYS", F.lit(index)
     )
 
 

@@ -19,6 +19,8 @@ from outfall.session import settle
 BROADCAST_BYTES = 64 * 1024 * 1024
 #: A key is hot from this share of all rows on, so there are never more hot keys than this.
 HOT_KEYS = 1024
+#: Lanes that every key of a stream is spread over when the other side is too large to broadcast.
+STREAM_LANES = 16
 #: First hex digits of an md5 that name an ordering bucket; 16 ** 3 buckets.
 _BUCKET_DIGITS = 3
 
@@ -47,6 +49,12 @@ def skew_join(
     if fits_broadcast(right, max_broadcast_bytes):
         return left.join(F.broadcast(right), on, how)
 
+    if left.isStreaming:
+        # A stream cannot be counted first, so all keys get the same lanes.
+        lane = F.pmod(F.xxhash64(*spread_by), F.lit(STREAM_LANES).cast("long"))
+        lanes = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(STREAM_LANES - 1).cast("long")))
+        return left.withColumn("_lane", lane).join(right.withColumn("_lane", lanes), [*on, "_lane"], how).drop("_lane")
+
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     total = left.agg(F.count(F.lit(1)).alias("_total")).scalar()
     hot = counts.filter(F.col("_n") * HOT_KEYS >= total).select(

@@ -6,7 +6,6 @@ to the list of terms. A term that fails before that leaves everything as it was.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +21,10 @@ _TERMS = "term long"
 
 def last_term(spark: SparkSession, state_dir: str) -> int:
     """Number of the current term, 0 before the first."""
-    try:
-        terms = spark.read.schema(_TERMS).parquet(f"{state_dir}/terms")
-    except AnalysisException:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{state_dir}/terms")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return 0
+    terms = spark.read.schema(_TERMS).parquet(f"{state_dir}/terms")
     return terms.agg(F.coalesce(F.max("term"), F.lit(0)).alias("term")).first()["term"]
 
 

@@ -215,11 +215,6 @@ def rank8_replica_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {sql.ROUTED} SELECT 'egress' AS name, scheme, count(*) AS delta FROM messages GROUP BY scheme")
-def agg2_egress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.egress(_messages(spark, sf_dir))
-
-
 @query(
     f"""WITH {sql.ENV}, {sql.SELECTED}, logs AS (
   SELECT custkey, app_id FROM selected WHERE NOT drain_type_ok)

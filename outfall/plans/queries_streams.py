@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from outfall.operators import metrics
 from outfall.plans import oracle_views as sql
 from outfall.plans import views
 from outfall.plans.queries_messages import _BUFFER, _BUFFERED, _messages
@@ -13,7 +14,7 @@ from outfall.schema import BINDING_KEY
 from outfall.session import shared_dir
 from outfall.sources.envelopes import stream_envelopes
 from outfall.streaming import delivery, fanout
-from outfall.streaming.sinks import TRIES, Target, with_retry
+from outfall.streaming.sinks import discard_sinks, with_retry
 
 _ALL_MESSAGES = f"WITH {sql.ROUTED} SELECT env_id, app_id, hostname, drain, part, frame FROM messages"
 
@@ -43,7 +44,7 @@ def src1_envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         .trigger(availableNow=True)
         .start()
     )
-    fanout.finish(running, 600)
+    fanout.finish(running)
     return spark.read.parquet(out)
 
 
@@ -52,7 +53,7 @@ def str1_stateless_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = stream_envelopes(spark, _landed(spark, sf_dir), maxFilesPerTrigger="2")
     out = shared_dir(spark)
     bindings = views.bindings(spark, sf_dir).select(*BINDING_KEY)
-    fanout.finish(fanout.start_stateless(stream, bindings, out, shared_dir(spark)), 600)
+    fanout.finish(fanout.start_stateless(stream, bindings, out, shared_dir(spark)))
     return _read(spark.read.parquet(out))
 
 
@@ -69,8 +70,8 @@ def str2_changing_drain_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     for remainder, bindings in ((0, every.filter(F.col("custkey") % 3 != 0)), (1, every)):
         bindings.select(*BINDING_KEY).write.mode("overwrite").parquet(table)
         path = _landed(spark, sf_dir, remainder, path)
-        running = fanout.start_fan_out(stream_envelopes(spark, path), current, out, checkpoint, capacity=10**9)
-        fanout.finish(running, 600)
+        running = fanout.start_fan_out(stream_envelopes(spark, path), current, out, checkpoint)
+        fanout.finish(running)
     return _read(spark.read.parquet(f"{out}/messages"))
 
 
@@ -81,7 +82,7 @@ def _buffered_stream(spark: SparkSession, sf_dir: str) -> str:
     running = fanout.start_fan_out(
         stream, lambda: bindings, out, shared_dir(spark), capacity=_BUFFER, worker_index="3"
     )
-    fanout.finish(running, 600)
+    fanout.finish(running)
     return out
 
 
@@ -99,7 +100,7 @@ def str4_restarted_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = None
     for remainder in (0, 1):
         path = _landed(spark, sf_dir, remainder, path)
-        fanout.finish(fanout.start_stateless(stream_envelopes(spark, path), bindings, out, checkpoint), 600)
+        fanout.finish(fanout.start_stateless(stream_envelopes(spark, path), bindings, out, checkpoint))
     return _read(spark.read.parquet(out))
 
 
@@ -116,7 +117,7 @@ def str5_pulse_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, out = shared_dir(spark), shared_dir(spark)
     events.write.parquet(path)
     stream = spark.readStream.schema(events.schema).parquet(path)
-    fanout.finish(fanout.start_pulse(stream, out, shared_dir(spark), "1 hour"), 600)
+    fanout.finish(fanout.start_pulse(stream, out, shared_dir(spark), "1 hour"))
     return spark.read.parquet(out).withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -146,51 +147,24 @@ def rfc15_deframed_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.read_captures(spark, out).select(F.col("message").cast("string").alias("message"))
 
 
-class _FlakyDrain:
-    """A drain that refuses an envelope as often as its first message is long, modulo 25.
-
-    When it refuses, it has taken all messages of the envelope but the last.
-    """
-
-    def __init__(self, target: Target):
-        self.sent, self._refused = 0, {}
-
-    def write(self, messages: list[bytes]) -> None:
-        envelope = b"".join(messages)
-        refusals = self._refused.get(envelope, 0)
-        if refusals < len(messages[0]) % 25:
-            self._refused = {envelope: refusals + 1}
-            self.sent += len(messages) - 1
-            raise OSError("connection reset")
-        self.sent += len(messages)
-
-    def close(self) -> None:
-        pass
-
-
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries to drains that refuse; there is no sink for plain http."""
-    flaky = with_retry(_FlakyDrain, wait_ms=lambda attempt: 0, sleep=lambda seconds: None)
-    sinks = {"syslog": flaky, "syslog-tls": flaky, "https": flaky}
-    return delivery.deliver(_messages(spark, sf_dir), sinks)
+    """Deliveries to drains that take everything; there is no sink for plain http."""
+    sinks = {scheme: with_retry(sink) for scheme, sink in discard_sinks().items()}
+    return delivery.deliver(_messages(spark, sf_dir), sinks, shared_dir(spark))
 
 
 _OUTCOMES = f"""{sql.ROUTED},
-grouped AS (SELECT env_id, app_id, hostname, drain, scheme, count(*) AS messages, bool_and(is_valid) AS is_valid,
-    octet_length(encode(arg_min(frame, part))) % 25 AS refusals
+grouped AS (SELECT env_id, app_id, hostname, drain, scheme, count(*) AS messages, bool_and(is_valid) AS is_valid
   FROM messages GROUP BY env_id, app_id, hostname, drain, scheme),
 outcomes AS (SELECT *, CASE WHEN scheme NOT IN ('syslog', 'syslog-tls', 'https') THEN 'unsupported protocol'
-    WHEN NOT is_valid THEN 'message is not valid' WHEN refusals >= {TRIES} THEN 'connection reset' END AS error
+    WHEN NOT is_valid THEN 'message is not valid' END AS error
   FROM grouped)"""
 
 
 @query(
     f"""WITH {_OUTCOMES}
 SELECT env_id, app_id, hostname, drain, scheme, messages,
-  CASE WHEN error IN ('unsupported protocol', 'message is not valid') THEN 0
-    ELSE least(refusals, {TRIES}) * (messages - 1) + CASE WHEN error IS NULL THEN messages ELSE 0 END END AS sent,
-  CASE WHEN error IN ('unsupported protocol', 'message is not valid') THEN 0
-    ELSE least(refusals + 1, {TRIES}) END AS attempts,
+  CASE WHEN error IS NULL THEN messages ELSE 0 END AS sent, CASE WHEN error IS NULL THEN 1 ELSE 0 END AS attempts,
   error IS NULL AS delivered, error FROM outcomes"""
 )
 def snk5_delivery_with_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,17 +208,16 @@ SELECT app_id, hostname, drain, env_id, part, row_number() OVER (PARTITION BY ap
   ORDER BY timestamp_ns, env_id, part) - 1 AS place FROM messages"""
 )
 def ord1_drain_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The place of each message among those of its drain, as the sender's partition has them."""
-    ordered = delivery.in_drain_order(_messages(spark, sf_dir)).select(*BINDING_KEY, "lane", "env_id", "part")
-    schema = "app_id string, hostname string, drain string, env_id long, part long, place long"
-    return ordered.mapInPandas(_number_drains, schema)
-
-
-def _number_drains(batches):
-    drain, place = None, 0
-    for batch in batches:
-        places = []
-        for key in zip(batch["app_id"], batch["hostname"], batch["drain"], batch["lane"]):
-            drain, place = (drain, place + 1) if key == drain else (key, 0)
-            places.append(place)
-        yield batch.drop(columns="lane").assign(place=places)
+    """The place of each message among those of its drain, in the order in which they are sent."""
+    return delivery.with_places(_messages(spark, sf_dir)).select(
+        *BINDING_KEY, "env_id", F.col("part").cast("long").alias("part"), "place"
+    )
+
+
+@query(
+    f"""WITH {_OUTCOMES}
+SELECT 'egress' AS name, scheme, CAST(sum(messages) AS BIGINT) AS delta FROM outcomes WHERE error IS NULL GROUP BY scheme"""
+)
+def agg2_egress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.egress(_outcomes(spark, sf_dir))
+
