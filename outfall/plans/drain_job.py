@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from outfall.operators import metrics, selflogs
 from outfall.operators.bindings import distinct_bindings
-from outfall.operators.placement import COPIES, MAX_BINDINGS, cap_workers, rebalance
+from outfall.operators.placement import COPIES, MAX_BINDINGS, cap_workers, healthy_workers, rebalance
 from outfall.operators.validation import kept_bindings, rejected_bindings, validate_bindings
 from outfall.schema import BINDING_KEY, HELD
 from outfall.sources.drain_table import IncompleteSnapshot, fetch_bindings
@@ -34,11 +34,17 @@ def read_state(spark: SparkSession, state_dir: str, table: str, term: int | None
 
 
 def held_copies(spark: SparkSession, state_dir: str) -> DataFrame:
-    """Copies that workers hold after the current term."""
+    """Copies that workers hold after the current term, also those of workers that did not answer."""
     term = last_term(spark, state_dir)
     if term == 0:
         return spark.createDataFrame([], HELD)
-    return read_state(spark, state_dir, "assignment", term).select("worker", *BINDING_KEY)
+    answered = read_state(spark, state_dir, "assignment", term).select("worker", *BINDING_KEY)
+    return answered.unionByName(read_state(spark, state_dir, "away", term))
+
+
+def read_held(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A snapshot of what the workers that answered say they hold."""
+    return spark.read.schema(HELD).format(fmt).load(path)
 
 
 def refresh(
@@ -53,12 +59,17 @@ def refresh(
 ) -> bool:
     """Run one term. False if the snapshot was not whole, and then nothing has changed.
 
-    ``held`` is what the workers report to hold; without it, what the last term gave them.
+    ``held`` is what the workers that answered report to hold; without it, what the last term
+    gave them. Copies on workers that do not answer can be neither kept nor removed: they are
+    written to ``away``, and settled in the term in which the worker is back. The reason of a
+    refused snapshot is appended to ``refused``, with the number of the term that it would have been.
     """
     spark = landed.sparkSession
     try:
         bindings = fetch_bindings(landed)
-    except IncompleteSnapshot:
+    except IncompleteSnapshot as fault:
+        refused = spark.createDataFrame([(last_term(spark, state_dir) + 1, str(fault))], "term long, reason string")
+        refused.write.mode("append").parquet(f"{state_dir}/refused")
         return False
     term = last_term(spark, state_dir) + 1
     folder = f"{state_dir}/term={term}"
@@ -67,8 +78,10 @@ def refresh(
         df.write.mode("overwrite").parquet(f"{folder}/{table}")
         return spark.read.parquet(f"{folder}/{table}")
 
-    if held is None:
-        held = held_copies(spark, state_dir)
+    known = held_copies(spark, state_dir)
+    held = known if held is None else held.select("worker", *BINDING_KEY)
+    answering = healthy_workers(workers)
+    write(known.join(answering, "worker", "left_anti").select("worker", *BINDING_KEY), "away")
     # Several steps read the bindings; the pages are parsed for them once.
     fetched = write(bindings, "fetched")
     validated = write(validate_bindings(fetched, dns, ranges), "validated")

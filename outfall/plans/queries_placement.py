@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,6 +155,29 @@ def rank5_failed_fetch_changes_nothing(spark: SparkSession, sf_dir: str) -> Data
     return drain_job.read_state(spark, state, "assignment").select("worker", *BINDING_KEY)
 
 
+@query(
+    f"""WITH {_TERM}
+SELECT app_id, hostname, drain, 2 AS copies FROM kept WHERE (SELECT count(*) FROM healthy) >= 2"""
+)
+def rank3_worker_away_and_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies that are left after a term, one without a third of the workers, and one with them again."""
+    state, landing = shared_dir(spark), shared_dir(spark)
+    views.landed_pages(spark, sf_dir).write.json(landing)
+    pages, workers = read_pages(spark, landing), views.workers(spark, sf_dir)
+    fewer = workers.withColumn("healthy", F.col("healthy") & (F.crc32(F.col("worker").cast("binary")) % 3 != 0))
+    for now in (workers, fewer, workers):
+        tables = (views.page_dns(spark, sf_dir), views.ranges(spark, sf_dir), now)
+        drain_job.refresh(pages, *tables, state_dir=state, max_bindings=10**9)
+    moves = [drain_job.read_state(spark, state, "moves", term) for term in (1, 2, 3)]
+    change = F.when(F.col("action") == "add", 1).when(F.col("action") == "remove", -1).otherwise(0)
+    return (
+        reduce(DataFrame.unionByName, moves)
+        .groupBy(*BINDING_KEY)
+        .agg(F.sum(change).cast("int").alias("copies"))
+        .filter("copies <> 0")
+    )
+
+
 _CAPPED = f"""{sql.BIND}, {sql.WORKERS}, {sql.placed('placed', 'bind', 'workers')},
 capped AS (
   SELECT p.worker, p.app_id, p.hostname, p.drain, row_number() OVER (PARTITION BY p.worker

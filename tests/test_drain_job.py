@@ -57,3 +57,28 @@ def test_cap(spark, tmp_path):
     held = assigned(spark, str(tmp_path))
     assert term(spark, str(tmp_path), pages(spark, apps), count=1, max_bindings=3)
     assert assigned(spark, str(tmp_path)) == held
+
+
+def test_worker_away_and_back(spark, tmp_path):
+    state = str(tmp_path)
+    apps = {f"app-{i}": ("h", ["syslog://1.1.1.1/"]) for i in range(6)}
+    on_workers = set()
+    for failing in ((), (1,), ()):
+        assert term(spark, state, pages(spark, apps), count=3, failing=failing)
+        for r in drain_job.read_state(spark, state, "moves").collect():
+            copy = (r["worker"], r["app_id"])
+            assert r["worker"] not in [f"w{i}" for i in failing]
+            if r["action"] == "add":
+                assert copy not in on_workers
+                on_workers.add(copy)
+            elif r["action"] == "remove":
+                on_workers.remove(copy)
+    held = sorted(app for _, app in on_workers)
+    assert held == sorted(list(apps) * 2)
+    assert sorted((w, a) for w, a, *_ in assigned(spark, state)) == sorted(on_workers)
+
+
+def test_reason_of_a_refused_term_is_written(spark, tmp_path):
+    assert not term(spark, str(tmp_path), pages(spark, {}, status=500))
+    refused = spark.read.parquet(f"{tmp_path}/refused").collect()
+    assert len(refused) == 1 and refused[0]["term"] == 1 and "500" in refused[0]["reason"]
