@@ -63,11 +63,12 @@ _CONTEXT = 32
 
 def _found(text: Column, kind: str, pattern: str, base: bool) -> Column:
     """Matches of a pattern, in order, with what lies between them."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
+    # Zipped first: an array named inside the function would be made again for every element.
+    zipped = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), gaps, F.slice(gaps, 2, 2**31 - 1))
 
-    def row(hit: Column, i: Column) -> Column:
-        before, after = F.get(gaps, i), F.get(gaps, i + 1)
+    def row(parts: Column, i: Column) -> Column:
+        hit, before, after = (parts[name] for name in "012")
         return F.struct(
             F.lit(kind).alias("kind"),
             F.lit(base).alias("is_base"),
@@ -78,7 +79,8 @@ def _found(text: Column, kind: str, pattern: str, base: bool) -> Column:
             F.substring(after, 1, _CONTEXT).alias("right"),
         )
 
-    return F.transform(hits, row)
+    # There is one gap more than there are matches.
+    return F.transform(F.filter(zipped, lambda parts: parts["0"].isNotNull()), row)
 
 
 _ROW = "array<struct<kind:string,is_base:boolean,i:int,gap:bigint,hit:string,left:string,right:string>>"
