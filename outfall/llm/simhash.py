@@ -35,6 +35,8 @@ MAX_BITS = 2
 PIVOTS = 12
 #: Members up to which a bucket's pairs are formed.
 PAIR_BUCKET = 48
+#: Edges that one task handles while components are found.
+EDGES_PER_TASK = 200_000
 _QUARTER = 16
 _LOWER = bytes(range(256)).lower()
 
@@ -133,12 +135,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     are written to the shared folder after each round.
     """
     edges = settle(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct())
-    before = None
+    before, size = None, edges.count()
     for _ in range(max_rounds):
+        # Few edges need few tasks, and one task no exchange.
+        edges = edges.coalesce(1 + size // EDGES_PER_TASK)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
         large = both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("_m").alias("b"))
-        large = settle(large.filter("a != b").distinct())
+        large = settle(large.filter("a != b").distinct()).coalesce(1 + size // EDGES_PER_TASK)
         least = large.groupBy("a").agg(F.min("b").alias("_m"))
         lower = large.join(least, "a")
         edges = settle(
@@ -150,7 +154,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        before, size = now, now[0]
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
