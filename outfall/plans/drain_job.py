@@ -14,6 +14,7 @@ from outfall.operators.bindings import distinct_bindings
 from outfall.operators.placement import COPIES, MAX_BINDINGS, cap_workers, healthy_workers, rebalance
 from outfall.operators.validation import kept_bindings, rejected_bindings, validate_bindings
 from outfall.schema import BINDING_KEY, HELD
+from outfall.session import temporary_folders
 from outfall.sources.drain_table import IncompleteSnapshot, fetch_bindings
 
 _TERMS = "term long"
@@ -64,6 +65,11 @@ def refresh(
     written to ``away``, and settled in the term in which the worker is back. The reason of a
     refused snapshot is appended to ``refused``, with the number of the term that it would have been.
     """
+    with temporary_folders(landed.sparkSession):
+        return _term(landed, dns, ranges, workers, state_dir, copies, max_bindings, held)
+
+
+def _term(landed, dns, ranges, workers, state_dir, copies, max_bindings, held) -> bool:
     spark = landed.sparkSession
     try:
         bindings = fetch_bindings(landed)

@@ -5,14 +5,19 @@ from __future__ import annotations
 import atexit
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 import outfall
 
 _sent: dict[str, str] = {}
+#: Of each thread, in ``made``: the folders made in each open ``temporary_folders``.
+_open = threading.local()
 
 
 def local_session(cores: str = "8", app_name: str = "outfall") -> SparkSession:
@@ -66,7 +71,26 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="outfall-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    made = getattr(_open, "made", [])
+    if made:
+        made[-1].append(folder)
+    return folder
+
+
+@contextmanager
+def temporary_folders(spark: SparkSession) -> Iterator[None]:
+    """Remove, also after a fault, all folders that ``shared_dir`` and ``settle`` make meanwhile.
+
+    For a batch or term whose results are written elsewhere before it ends.
+    """
+    _open.made = [*getattr(_open, "made", []), []]
+    try:
+        yield
+    finally:
+        for folder in _open.made.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
