@@ -113,13 +113,14 @@ def mix(
     dims: dict[str, Column],
     targets: dict[str, DataFrame] | float,
     seed: int = 0,
-    budget: float | None = None,
+    share: float | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``docs`` with ``_weight``, ``_tokens`` (of the cell), ``probability`` and ``kept``.
 
     ``dims`` names the dimensions and their expressions over ``docs``; null is a value of its own.
-    ``targets`` are tables of shares, or the power to which token shares are raised. Rows that
+    ``targets`` are tables of shares, or the power to which token shares are raised. ``share`` is the part
+    of all tokens that is wanted (see ``sampling_rates``); cells that are too scarce are kept whole. Rows that
     repeat id and text share their lot. An empty table gives an empty one.
     """
     held = {f"_cell_{d}": c for d, c in dims.items()}
@@ -128,6 +129,8 @@ def mix(
         wanted = {f"_cell_{d}": t.withColumnRenamed(d, f"_cell_{d}") for d, t in targets.items()}
     else:
         wanted = {d: flattened(cells, d, targets) for d in held}
+    total = cells.agg(F.sum("_tokens")).first()[0] or 0
+    budget = None if share is None else share * total
     rates = settle(sampling_rates(rake(cells, wanted, max_rows), budget))
     return (
         docs.withColumns({d: named(c) for d, c in held.items()})
