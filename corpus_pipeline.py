@@ -29,8 +29,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose sources, languages and topics have flatter token shares."""
-    mixed = mixing.mix(docs, queries.mixing_dimensions(), queries.MIX_POWER, queries.MIX_SEED)
+    """A sample of most tokens whose sources, languages and topics have flatter shares."""
+    mixed = mixing.mix(docs, queries.mixing_dimensions(), queries.MIX_POWER, queries.MIX_SEED, MIX_SHARE)
     return mixed.filter("kept").select(*docs.columns)
 
 
@@ -40,6 +40,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.with_ids(docs, queries.tokenizer_path())
 
 
+#: The part of all tokens that the mix should have.
+MIX_SHARE = 0.8
+
 STAGES = [
     ("quality_classifier", drop_low_quality),
     ("exact_dedup", drop_copies),
