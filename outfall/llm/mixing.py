@@ -108,7 +108,7 @@ def lot(seed: int) -> Column:
     return bits / F.lit(float(1 << _BITS))
 
 
-def mix(
+def rated(
     docs: DataFrame,
     dims: dict[str, Column],
     targets: dict[str, DataFrame] | float,
@@ -116,7 +116,7 @@ def mix(
     share: float | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """``docs`` with ``_weight``, ``_tokens`` (of the cell), ``probability`` and ``kept``.
+    """``docs`` with ``_mix__tokens`` and ``_mix__weight`` of the cell, ``_mix_probability`` and ``_mix_kept``.
 
     ``dims`` names the dimensions and their expressions over ``docs``; null is a value of its own.
     ``targets`` are tables of shares, or the power to which token shares are raised. ``share`` is the part
@@ -132,14 +132,30 @@ def mix(
     total = cells.agg(F.sum("_tokens")).first()[0] or 0
     budget = None if share is None else share * total
     rates = settle(sampling_rates(rake(cells, wanted, max_rows), budget))
+    rates = rates.select(*held, *[F.col(c).alias(f"_mix_{c}") for c in ("_tokens", "_weight", "probability")])
     return (
         docs.withColumns({d: named(c) for d, c in held.items()})
         .join(small(rates, max_rows), list(held), "left")
-        .withColumn("kept", lot(seed) < F.col("probability"))
+        .withColumn("_mix_kept", lot(seed) < F.col("_mix_probability"))
         .drop(*held)
     )
 
 
+def mix(docs: DataFrame, *args, **options) -> DataFrame:
+    """``docs`` with ``_tokens`` and ``_weight`` of the cell, ``probability`` and ``kept``.
+
+    Takes what ``rated`` takes. Columns of ``docs`` with these names are replaced.
+    """
+    names = ["_tokens", "_weight", "probability", "kept"]
+    mine = [F.col(f"_mix_{c}").alias(c) for c in names]
+    return rated(docs, *args, **options).select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *mine)
+
+
+def sample(docs: DataFrame, *args, **options) -> DataFrame:
+    """The rows of ``docs`` that are drawn, with all their columns. Takes what ``rated`` takes."""
+    return rated(docs, *args, **options).filter("_mix_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def content_topic(text: Column) -> Column:
     """A coarse topic that needs no model: text under a license, tables, or prose."""
     text = whole_text(text)

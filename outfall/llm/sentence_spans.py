@@ -167,7 +167,7 @@ def _covered(spans: list[dict]) -> int:
 def dedup_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` with all their columns, repeated sentences removed from ``text``."""
     text = whole_text(F.col("text"))
-    spans = repeated_spans(docs, max_rows).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "spans")
+    spans = repeated_spans(docs, max_rows).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), F.col("spans").alias("_spans"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_copy"))
 
     @F.pandas_udf("string")
@@ -176,6 +176,6 @@ def dedup_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
         return pd.Series([cut_out(t, [(s["begin"], s["end"]) for s in f])[0] for t, f in zip(texts, found, strict=True)])
 
-    found = F.coalesce("spans", F.array().cast("array<struct<begin:int,end:int>>"))
-    new = F.when(F.col("spans").isNull(), F.col("text")).otherwise(without(text, found))
+    found = F.coalesce("_spans", F.array().cast("array<struct<begin:int,end:int>>"))
+    new = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(without(text, found))
     return docs.join(small(settle(spans), max_rows // 4), same, "left").withColumn("text", new).select(*docs.columns)
