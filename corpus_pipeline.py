@@ -30,8 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of most tokens whose sources, languages and topics have flatter shares."""
-    mixed = mixing.mix(docs, queries.mixing_dimensions(), queries.MIX_POWER, queries.MIX_SEED, MIX_SHARE)
-    return mixed.filter("kept").select(*docs.columns)
+    return mixing.sample(docs, queries.mixing_dimensions(), queries.MIX_POWER, queries.MIX_SEED, MIX_SHARE)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
