@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outfall.llm.words import BROADCAST_ROWS, small, whole_text
+from outfall.operators.skew import fits_broadcast
 from outfall.session import settle
 
 #: A run has so many sentences and words at least; a longer sentence is cut after so many words.
@@ -93,14 +94,14 @@ def repeated_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame
     Documents come in order of ``doc_id``, null first, then of the hash of their text. Rows that
     repeat both are one document here. Null texts count as empty.
     """
-    found = settle(runs(docs).distinct())
+    found = settle(runs(docs))
     place = F.struct("doc_id", "copy", "begin")
     shared = settle(
-        found.groupBy("run").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first")).filter("_n > 1").drop("_n")
+        found.groupBy("run").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).filter("_first <> _last").drop("_last")
     )
     again = found.join(small(shared, max_rows), "run").filter(~place.eqNullSafe(F.col("_first")))
     return again.groupBy("doc_id", "copy").agg(
-        F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"),
+        F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"),
         F.sort_array(F.collect_set("_first.doc_id")).alias("first_doc_ids"),
     )
 
@@ -137,7 +138,7 @@ def cleaned(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     keys = spans.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "spans", "first_doc_ids")
     text = whole_text(F.col("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy"))
-    touched = docs.select("doc_id", F.xxhash64(text).alias("copy"), text.alias("text")).join(small(keys, max_rows // 4), same)
+    touched = docs.select("doc_id", F.xxhash64(text).alias("copy"), text.alias("text")).join(_sized(keys, max_rows), same)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,6 +156,11 @@ def cleaned(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return touched.select("doc_id", "first_doc_ids", "text", "spans").mapInArrow(rewrite, schema)
 
 
+def _sized(spans: DataFrame, max_rows: int) -> DataFrame:
+    """Rows of spans have no fixed width, so their bytes are measured before a broadcast."""
+    return F.broadcast(spans) if max_rows and fits_broadcast(spans, 16 * 1024 * 1024) else spans
+
+
 def _covered(spans: list[dict]) -> int:
     """The number of sentences under spans that are sorted."""
     total = at = 0
@@ -178,4 +184,4 @@ def dedup_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
     found = F.coalesce("_spans", F.array().cast("array<struct<begin:int,end:int>>"))
     new = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(without(text, found))
-    return docs.join(small(settle(spans), max_rows // 4), same, "left").withColumn("text", new).select(*docs.columns)
+    return docs.join(_sized(settle(spans), max_rows), same, "left").withColumn("text", new).select(*docs.columns)
