@@ -36,8 +36,8 @@ _END, _OTHER = 0, 1
 #: Shards of the trigrams, by the first symbol's low bits; documents in a block, about.
 SHARDS = 8
 BLOCK_DOCS = 8_000
-#: Characters handled at once, and documents.
-SLICE_CHARS, SLICE_DOCS = 2_000_000, 8_000
+#: Characters handled at once, and documents; what a Python worker holds beside its batch follows from them.
+SLICE_CHARS, SLICE_DOCS = 400_000, 2_000
 UNIT = 1_000_000
 QUANTILE = 0.99
 SLACK = 0.3
@@ -99,15 +99,18 @@ def gram_code(first, second, third):
     return turned << 2 * _BITS | second << _BITS | third
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    begin, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > begin and (size + len(text) > SLICE_CHARS or i - begin >= SLICE_DOCS):
-            yield begin, i
-            begin, size = i, 0
+def _slices(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """The place of each slice's first text, and its texts; only one slice is decoded at a time."""
+    begin, size, texts = 0, 0, []
+    for text in column:
+        text = text.as_py() or ""
+        if texts and (size + len(text) > SLICE_CHARS or len(texts) >= SLICE_DOCS):
+            yield begin, texts
+            begin, size, texts = begin + len(texts), 0, []
         size += len(text)
-    if begin < len(texts):
-        yield begin, len(texts)
+        texts.append(text)
+    if texts:
+        yield begin, texts
 
 
 def gram_counts(flagged: DataFrame, points: list[int]) -> DataFrame:
@@ -117,12 +120,11 @@ def gram_counts(flagged: DataFrame, points: list[int]) -> DataFrame:
         grams = Grams(points)
         total = np.zeros((2, SYMBOLS**3), np.int64)
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(0)]
             trusted = np.array(batch.column(1).to_pylist(), bool)
-            for begin, end in _slices(texts):
-                doc, codes = grams.of(texts[begin:end])
+            for begin, texts in _slices(batch.column(0)):
+                doc, codes = grams.of(texts)
                 total[0] += np.bincount(codes, minlength=SYMBOLS**3)
-                total[1] += np.bincount(codes[trusted[begin:end][doc]], minlength=SYMBOLS**3)
+                total[1] += np.bincount(codes[trusted[begin + doc]], minlength=SYMBOLS**3)
         seen = np.flatnonzero(total[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen), pa.array(total[0][seen]), pa.array(total[1][seen])], ["code", "n", "trusted"]
@@ -205,9 +207,8 @@ def _profiles(flagged: DataFrame, points: list[int], ids: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, row = Grams(points), TaskContext.get().partitionId() << 40
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(0)]
-            for begin, end in _slices(texts):
-                doc, codes = grams.of(texts[begin:end])
+            for begin, texts in _slices(batch.column(0)):
+                doc, codes = grams.of(texts)
                 keys = np.sort(doc << np.uint32(width) | codes)  # SLICE_DOCS < 2 ** (32 - width)
                 starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
                 counts = np.diff(np.r_[starts, len(keys)])
@@ -233,7 +234,7 @@ def _profiles(flagged: DataFrame, points: list[int], ids: str) -> DataFrame:
                     ],
                     ["row", "shard", "doc_id", "tag", "lang", "is_trusted", "codes", "counts"],
                 )
-            row += len(texts)
+            row += len(batch)
 
     rows = flagged.select("text", "doc_id", "tag", "lang", "is_trusted")
     return rows.mapInArrow(run, _PROFILE.format(ids=ids))
