@@ -8,12 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from outfall.llm import bpe, exact_dedup, kneser_ney, mixing, queries, simhash
-from outfall.session import send_code_with_tasks, settle
+from outfall.session import settle
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose perplexity is too high for their language."""
-    send_code_with_tasks(spark)
+    queries.prepare(spark)
     return kneser_ney.drop_rejected(docs, queries.trusted_documents(spark, sf_dir))
 
 
@@ -24,7 +24,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near copies, the document with the smallest id stays."""
-    send_code_with_tasks(spark)
+    queries.prepare(spark)
     return simhash.drop_near_copies(docs, shingle=3)
 
 
@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids."""
-    send_code_with_tasks(spark)
+    queries.prepare(spark)
     return bpe.with_ids(docs, queries.tokenizer_path())
 
 

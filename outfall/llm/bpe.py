@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -113,9 +114,13 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
 def with_ids(docs: DataFrame, path: str, name: str = "ids") -> DataFrame:
     """``docs`` with an array column of the ids of ``text``."""
 
-    @F.pandas_udf("array<int>")
-    def column(texts):
-        return texts.map(encoder(path).encode, na_action=None)
+    @F.arrow_udf("array<int>")
+    def column(texts: pa.Array) -> pa.Array:
+        coder = encoder(path)
+        # Numbers of four bytes: lists of Python's numbers would take ten times the space.
+        found = [np.fromstring(coder.decimals(t.as_py())[0], np.int32, sep=" ") for t in texts]
+        ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+        return pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *found]))
 
     return docs.withColumn(name, column(F.col("text").cast("string")))
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outfall.llm import bpe, exact_dedup, kneser_ney, mixing, pii, repetition, sentence_spans, sharding, simhash, token_files
+from outfall.llm.words import bound_batches
 from outfall.session import send_code_with_tasks, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,9 +28,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def prepare(spark: SparkSession) -> None:
+    """What tasks in Python need of a session: this package, and batches of bounded size."""
+    send_code_with_tasks(spark)
+    bound_batches(spark)
+
+
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        send_code_with_tasks(spark)
+        prepare(spark)
         return build(spark, sf_dir)
 
     run.__name__, run.__doc__ = build.__name__, build.__doc__

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outfall.session import settle
@@ -12,6 +12,8 @@ WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows up to which a settled table of a few plain columns is broadcast (about 64 MB of them).
 BROADCAST_ROWS = 1_000_000
+#: Bytes of a batch that is sent to Python. A batch is a few times in the memory of a task.
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def whole_text(text: Column) -> Column:
@@ -34,3 +36,14 @@ def small(settled: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 def settled_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Write ``df``, and hint its size as ``small`` does."""
     return small(settle(df), max_rows)
+
+
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Have the session send batches of ``size`` bytes at most, or one row; smaller settings stay.
+
+    Spark's own limit counts rows above all, and ten thousand long texts are a lot. Results do not change.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < now <= size:
+        spark.conf.set(key, str(size))
