@@ -21,7 +21,7 @@ import regex
 #: Unicode white space, as the pattern's class has it.
 _SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Pieces that a worker remembers, in each of two generations.
-CACHED = 50_000
+CACHED = 150_000
 
 
 class Vocabulary:
