@@ -200,13 +200,13 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, max_rows: int = BROADCAS
     if gone.filter(F.col("_gone").isNull()).isEmpty():
         return docs.join(small(gone, max_rows), F.col("doc_id") == F.col("_gone"), "left_anti")
     named = gone.filter(F.col("_gone").isNotNull())
-    lost = gone.filter(F.col("_gone").isNull()).select("fp")
+    lost = gone.filter(F.col("_gone").isNull()).select(F.col("fp").alias("_lost"))
     ids = docs.filter(F.col("doc_id").isNotNull()).join(
         small(named, max_rows), F.col("doc_id") == F.col("_gone"), "left_anti"
     )
     nameless = docs.filter(F.col("doc_id").isNull()).withColumn("_fp", fingerprint_column(shingle)(F.col("text")))
     return ids.unionByName(
-        nameless.join(small(lost, max_rows), F.col("_fp") == F.col("fp"), "left_anti").drop("_fp")
+        nameless.join(small(lost, max_rows), F.col("_fp") == F.col("_lost"), "left_anti").drop("_fp")
     )
 
 
