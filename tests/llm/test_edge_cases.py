@@ -3,7 +3,7 @@
 import pytest
 
 import corpus_pipeline
-from outfall.llm import bpe, exact_dedup, kneser_ney, mixing, pii, repetition, sentence_spans, sharding, simhash, token_files
+from outfall.llm import bpe, exact_dedup, kneser_ney, mixing, pii, repetition, sentence_spans, sharding, simhash, token_files, words
 from outfall.llm.queries import END_ID, mixing_dimensions, tokenizer_path
 from outfall.session import shared_dir
 
@@ -63,3 +63,15 @@ def test_stages_with_odd_rows(spark, docs, sample, name, stage):
         got = stage(spark, given, sample)
         assert got.columns[: len(given.columns)] == given.columns or name == "bpe_encoding"
         assert got.count() <= len(rows)
+
+
+def test_batches_are_bounded_unless_smaller_ones_are_set(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for held, size in (("64m", "4096"), ("1024", "1024")):
+            spark.conf.set(key, held)
+            words.bound_batches(spark, 4096)
+            assert spark.conf.get(key) == size
+    finally:
+        spark.conf.set(key, before)
