@@ -1,13 +1,13 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over trigrams of characters. Its symbols are the most frequent characters of the
-corpus, one symbol for all others, and one for the ends of a text; so there are ``SYMBOLS`` cubed
-trigrams at most, whatever the corpus. Counts are gathered from all documents and joined with the
-sums of their contexts, of their shorter grams and of the contexts of these.
+The model is over trigrams of characters. Every character of the corpus is a symbol of its own, and so
+are the ends of a text; the trigrams are rows of a table that grows with the corpus. They are joined
+with the sums of their contexts, of their shorter grams and of the contexts of these.
 
 Scoring is a sharded join: a document is its distinct trigrams with their counts, cut into
-shards by the trigram, and each shard meets the same shard of the model. Documents lie in blocks
-of bounded size, each of which gets a copy of the model's shard, so no task's share grows with the corpus. Log
+shards by the trigram, and each shard meets the same shard of the model. Documents lie in blocks,
+each of which gets a copy of the model's shard. The shards grow in number with the model, and the blocks
+in size, so that neither a task's share nor the copies for each document grow with the corpus. Log
 probabilities are whole millionths, so that sums do not depend on their order.
 
 A document is rejected when its cross entropy is above a high quantile of that of the trusted
@@ -29,15 +29,18 @@ from pyspark.sql import functions as F
 from outfall.llm.words import BROADCAST_ROWS, small, whole_text
 from outfall.session import settle
 
-#: Symbols of the model: 6 bits each.
-SYMBOLS = 64
-_BITS = 6
-_END, _OTHER = 0, 1
-#: Shards of the trigrams, by the first symbol's low bits; documents in a block, about.
-SHARDS = 8
+#: All symbols that there may be: the code points, and the ends of a text. 21 bits each in ``code``.
+SYMBOLS = 0x110000 + 1
+_BITS = 21
+_END = 0
+#: Trigrams in a shard of the model, about, and the fewest shards; documents in a block, for each shard of these.
+SHARD_GRAMS = 100_000
+LEAST_SHARDS = 9
 BLOCK_DOCS = 8_000
 #: Characters handled at once, and documents; what a Python worker holds beside its batch follows from them.
 SLICE_CHARS, SLICE_DOCS = 400_000, 2_000
+#: Counts that a task holds before it passes them on.
+HELD_COUNTS = 2_000_000
 UNIT = 1_000_000
 QUANTILE = 0.99
 SLACK = 0.3
@@ -48,7 +51,7 @@ _BIN = 0.001
 
 
 def alphabet(docs: DataFrame) -> list[int]:
-    """The most frequent code points over all texts, ``SYMBOLS`` - 2 at most."""
+    """All code points of the texts, the most frequent first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0x110000, np.int64)
@@ -60,7 +63,7 @@ def alphabet(docs: DataFrame) -> list[int]:
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["point", "n"])
 
     counts = docs.select(F.col("text").cast("string")).mapInArrow(run, "point long, n long")
-    top = counts.groupBy("point").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "point").limit(SYMBOLS - 2)
+    top = counts.groupBy("point").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "point")
     return [row["point"] for row in top.collect()]
 
 
@@ -69,11 +72,14 @@ def _code_points(text: str) -> np.ndarray:
 
 
 class Grams:
-    """The trigrams of texts, as numbers: shard, rest of the first symbol, second and third symbol."""
+    """The trigrams of texts, as numbers of three symbols of ``bits`` bits: those that the alphabet needs."""
 
     def __init__(self, points: list[int]):
-        self.symbol = np.full(0x110000, _OTHER, np.uint32)
-        self.symbol[points] = np.arange(len(points)) + 2
+        self.symbol = np.zeros(0x110000, np.uint64)
+        self.symbol[points] = np.arange(len(points), dtype=np.uint64) + np.uint64(1)
+        self.bits = symbol_bits(points)
+        #: Documents whose place fits beside a trigram in 64 bits.
+        self.most_docs = min(SLICE_DOCS, 1 << 64 - 3 * self.bits)
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The text and the trigram of every character, and of every text's end."""
@@ -82,29 +88,41 @@ class Grams:
         place = np.ones(int(sizes.sum()), bool)
         for padding in (ends - sizes, ends - sizes + 1, ends - 1):  # two before a text, one after
             place[padding] = False
-        padded = np.full(len(place), _END, np.uint32)
+        padded = np.full(len(place), _END, np.uint64)
         padded[place] = self.symbol[_code_points("".join(texts))]
-        first, second, third = padded[:-2], padded[1:-1], padded[2:]
-        codes = gram_code(first, second, third)
+        codes = _packed(padded[:-2], padded[1:-1], padded[2:], self.bits)
         # The two places that begin in one text and end in the next are left out.
-        text = np.repeat(np.arange(len(texts)), sizes)
+        text = np.repeat(np.arange(len(texts), dtype=np.uint32), sizes)
         inside = text[:-2] == text[2:]
-        return text[:-2][inside].astype(np.uint32), codes[inside]
+        return text[:-2][inside], codes[inside]
+
+    def wide(self, codes: np.ndarray) -> np.ndarray:
+        """``gram_code`` of the trigrams."""
+        bits, mask = np.uint64(self.bits), np.uint64((1 << self.bits) - 1)
+        return gram_code(codes >> bits + bits, codes >> bits & mask, codes & mask).astype(np.int64)
+
+
+def symbol_bits(points: list[int]) -> int:
+    return max(1, len(points).bit_length())
+
+
+def _packed(first, second, third, bits: int):
+    if isinstance(first, np.ndarray):
+        bits = np.uint64(bits)
+    return first << bits + bits | second << bits | third
 
 
 def gram_code(first, second, third):
-    """Shard in the highest bits, so that the codes of a shard are neighbours."""
-    rest = _BITS - (SHARDS - 1).bit_length()
-    turned = (first % SHARDS) << rest | first // SHARDS
-    return turned << 2 * _BITS | second << _BITS | third
+    """The three symbols in one number, whatever the alphabet."""
+    return _packed(first, second, third, _BITS)
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+def _slices(column: pa.Array, most_docs: int = SLICE_DOCS) -> Iterator[tuple[int, list[str]]]:
     """The place of each slice's first text, and its texts; only one slice is decoded at a time."""
     begin, size, texts = 0, 0, []
     for text in column:
         text = text.as_py() or ""
-        if texts and (size + len(text) > SLICE_CHARS or len(texts) >= SLICE_DOCS):
+        if texts and (size + len(text) > SLICE_CHARS or len(texts) >= most_docs):
             yield begin, texts
             begin, size, texts = begin + len(texts), 0, []
         size += len(text)
@@ -113,22 +131,56 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield begin, texts
 
 
+class Tally:
+    """Sums of counts by code, over as many codes as there are."""
+
+    def __init__(self):
+        self.parts, self.size = [], 0
+
+    def add(self, codes: np.ndarray) -> None:
+        if len(codes):
+            self.parts.append(np.unique(codes, return_counts=True))
+            self.size += len(self.parts[-1][0])
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.parts) > 1:
+            codes, counts = (np.concatenate(p) for p in zip(*self.parts, strict=True))
+            order = np.argsort(codes, kind="stable")
+            codes, counts = codes[order], counts[order]
+            starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+            self.parts = [(codes[starts], np.add.reduceat(counts, starts))]
+            self.size = len(starts)
+        return self.parts[0] if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
 def gram_counts(flagged: DataFrame, points: list[int]) -> DataFrame:
-    """``code``, ``n`` (in all texts) and ``trusted`` (in trusted ones) for every trigram there is."""
+    """``code``, ``n`` (in all texts) and ``trusted`` (in trusted ones) for every trigram there is.
+
+    A task passes on partial sums: what it has counted by its end, or when it holds too many codes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(points)
-        total = np.zeros((2, SYMBOLS**3), np.int64)
+        grams, tallies = Grams(points), [Tally(), Tally()]
+
+        def out(good: int) -> pa.RecordBatch:
+            codes, counts = tallies[good].merge()
+            tallies[good] = Tally()
+            held = counts if good else np.zeros_like(counts)
+            return pa.RecordBatch.from_arrays([pa.array(grams.wide(codes)), pa.array(counts), pa.array(held)], ["code", "n", "trusted"])
+
         for batch in batches:
             trusted = np.array(batch.column(1).to_pylist(), bool)
             for begin, texts in _slices(batch.column(0)):
                 doc, codes = grams.of(texts)
-                total[0] += np.bincount(codes, minlength=SYMBOLS**3)
-                total[1] += np.bincount(codes[trusted[begin + doc]], minlength=SYMBOLS**3)
-        seen = np.flatnonzero(total[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(total[0][seen]), pa.array(total[1][seen])], ["code", "n", "trusted"]
-        )
+                good = trusted[begin + doc]
+                for i, tally in enumerate(tallies):
+                    tally.add(codes[good == bool(i)])
+                    if tally.size > HELD_COUNTS:
+                        tally.merge()
+                        if tally.size > HELD_COUNTS // 2:
+                            yield out(i)
+        yield out(0)
+        yield out(1)
 
     rows = flagged.select("text", "is_trusted").mapInArrow(run, "code long, n long, trusted long")
     return rows.groupBy("code").agg(F.sum("n").alias("n"), F.sum("trusted").alias("trusted"))
@@ -154,13 +206,11 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
     ``counts`` is the result of ``gram_counts``; every trigram in it gets a cost, whether trusted
     text has it or not. Without trusted text all symbols are equally likely.
     """
-    rest = _BITS - (SHARDS - 1).bit_length()
-    turned = F.shiftright("code", 2 * _BITS)
-    mask = F.lit(SYMBOLS - 1)
+    mask = F.lit((1 << _BITS) - 1)
     grams = settle(
         counts.select(
             "code",
-            (turned.bitwiseAND(F.lit((1 << rest) - 1)) * SHARDS + F.shiftright(turned, rest)).alias("a"),
+            F.shiftright("code", 2 * _BITS).alias("a"),
             F.shiftright("code", _BITS).bitwiseAND(mask).alias("b"),
             F.col("code").bitwiseAND(mask).alias("c"),
             F.col("trusted").alias("c3"),
@@ -199,17 +249,20 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
 _PROFILE = "row long, shard int, doc_id {ids}, tag long, lang string, is_trusted boolean, codes binary, counts binary"
 
 
-def _profiles(flagged: DataFrame, points: list[int], ids: str) -> DataFrame:
-    """A row per document and shard: its distinct trigrams there, and how often each occurs."""
-    low = SYMBOLS**3 // SHARDS
-    width = int(low * SHARDS).bit_length() - 1
+def _profiles(flagged: DataFrame, points: list[int], ids: str, shards: int) -> DataFrame:
+    """A row per document and shard: its distinct trigrams there, and how often each occurs.
+
+    The shard is the remainder of a trigram, and what is kept is the quotient, in as few bytes as all fit in.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, row = Grams(points), TaskContext.get().partitionId() << 40
+        width, n = np.uint64(3 * grams.bits), np.uint64(shards)
+        mask, size = np.uint64((1 << 3 * grams.bits) - 1), code_bytes(grams.bits, shards)
         for batch in batches:
-            for begin, texts in _slices(batch.column(0)):
+            for begin, texts in _slices(batch.column(0), grams.most_docs):
                 doc, codes = grams.of(texts)
-                keys = np.sort(doc << np.uint32(width) | codes)  # SLICE_DOCS < 2 ** (32 - width)
+                keys = np.sort(doc.astype(np.uint64) << width | codes)
                 starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
                 counts = np.diff(np.r_[starts, len(keys)])
                 # A count above 255 is several entries.
@@ -217,20 +270,23 @@ def _profiles(flagged: DataFrame, points: list[int], ids: str) -> DataFrame:
                 distinct = np.repeat(keys[starts], times)
                 parts = np.full(len(distinct), 255)
                 parts[np.cumsum(times) - 1] = counts - 255 * (times - 1)
-                group = distinct // np.uint32(low)
+                code = distinct & mask
+                group = (distinct >> width).astype(np.int64) * shards + (code % n).astype(np.int64)
+                order = np.argsort(group, kind="stable")
+                group, code, parts = group[order], code[order] // n, parts[order]
                 first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
                 bounds = np.r_[first, len(distinct)]
-                where = (group[first] // SHARDS).astype(np.int64)
+                where = group[first] // shards
                 # The first shard that a document has carries its columns.
                 head = np.r_[True, where[1:] != where[:-1]]
                 at = pa.array(np.where(head, where + begin, -1), mask=~head)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row + begin + where),
-                        pa.array((group[first] % SHARDS).astype(np.int32)),
+                        pa.array((group[first] % shards).astype(np.int32)),
                         *[batch.column(i).take(at) for i in (1, 2, 3, 4)],
-                        _binary((distinct % np.uint32(low)).astype(np.uint16), bounds),
-                        _binary(parts.astype(np.uint8), bounds),
+                        _binary(code.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size], bounds),
+                        _binary(parts.astype(np.uint8).reshape(-1, 1), bounds),
                     ],
                     ["row", "shard", "doc_id", "tag", "lang", "is_trusted", "codes", "counts"],
                 )
@@ -240,34 +296,47 @@ def _profiles(flagged: DataFrame, points: list[int], ids: str) -> DataFrame:
     return rows.mapInArrow(run, _PROFILE.format(ids=ids))
 
 
+def code_bytes(bits: int, shards: int) -> int:
+    return -(-(((1 << 3 * bits) - 1) // shards).bit_length() // 8) or 1
+
+
 def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    offsets = (bounds * values.itemsize).astype(np.int32)
+    """A value per group of rows of bytes."""
+    offsets = (bounds * values.shape[1]).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
 
 
-def _scored(profiles: DataFrame, model: DataFrame, blocks: int, ids: str) -> DataFrame:
+def _scored(profiles: DataFrame, model: DataFrame, bits: int, shards: int, blocks: int, ids: str) -> DataFrame:
     """``row``, its columns, and the ``cost`` and number of its trigrams, by a join shard by shard."""
-    low = SYMBOLS**3 // SHARDS
+    size = code_bytes(bits, shards)
     dealt = profiles.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks).cast("long")))
-    shards = (
-        model.groupBy((F.col("code") / low).cast("int").alias("shard"))
-        .agg(F.collect_list(F.pmod("code", F.lit(low))).alias("at"), F.collect_list("cost").alias("costs"))
+    mask = F.lit((1 << _BITS) - 1)
+    first, second, third = F.shiftright("code", 2 * _BITS), F.shiftright("code", _BITS).bitwiseAND(mask), F.col("code").bitwiseAND(mask)
+    packed = F.shiftleft(first, 2 * bits).bitwiseOR(F.shiftleft(second, bits)).bitwiseOR(third)
+    held = (
+        model.select(packed.alias("code"), "cost")
+        .groupBy((F.col("code") % shards).cast("int").alias("shard"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.expr(f"code div {shards}").alias("at"), "cost"))).alias("_grams"))
+        .select("shard", F.col("_grams.at").alias("at"), F.col("_grams.cost").alias("costs"))
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        cost = np.zeros(low, np.int64)
-        cost[right["at"].combine_chunks().values.to_numpy()] = right["costs"].combine_chunks().values.to_numpy()
-        codes = [np.frombuffer(c.as_py(), np.uint16) for c in left["codes"]]
+        at = right["at"].combine_chunks().values.to_numpy()
+        cost = right["costs"].combine_chunks().values.to_numpy()
+        sizes = np.array([len(c.as_py()) for c in left["counts"]], np.int64)
+        whole = np.zeros((int(sizes.sum()), 8), np.uint8)
+        whole[:, :size] = np.frombuffer(b"".join(left["codes"].to_pylist()), np.uint8).reshape(-1, size)
+        codes = whole.view("<u8").ravel().astype(np.int64)
         counts = np.frombuffer(b"".join(left["counts"].to_pylist()), np.uint8).astype(np.int64)
-        begins = np.cumsum([0] + [len(c) for c in codes])[:-1]
-        costs = cost[np.concatenate(codes)] * counts if codes else np.zeros(0, np.int64)
-        sums = [np.add.reduceat(v, begins) if codes else v for v in (costs, counts)]
+        begins = np.cumsum(sizes) - sizes
+        costs = cost[np.searchsorted(at, codes)] * counts if len(codes) else np.zeros(0, np.int64)
+        sums = [np.add.reduceat(v, begins) if len(codes) else v for v in (costs, counts)]
         held = left.select(["row", "doc_id", "tag", "lang", "is_trusted"])
         return held.append_column("cost", pa.array(sums[0])).append_column("n", pa.array(sums[1]))
 
     schema = f"row long, doc_id {ids}, tag long, lang string, is_trusted boolean, cost long, n long"
-    parts = dealt.groupBy("shard", "block").cogroup(shards.groupBy("shard", "block")).applyInArrow(meet, schema)
+    parts = dealt.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInArrow(meet, schema)
     carried = [F.max(c).alias(c) for c in ("doc_id", "tag", "lang", "is_trusted")]
     return parts.groupBy("row").agg(*carried, F.sum("cost").alias("cost"), F.sum("n").alias("n")).drop("row")
 
@@ -290,8 +359,10 @@ def perplexities(docs: DataFrame, trusted: DataFrame, max_rows: int = BROADCAST_
     )
     points = alphabet(docs)
     model = settle(log_probabilities(gram_counts(flagged, points)))
-    blocks = 1 + docs.count() // BLOCK_DOCS
-    scores = settle(_scored(_profiles(flagged, points, ids), model, blocks, ids))
+    shards = LEAST_SHARDS + 2 * (model.count() // (2 * SHARD_GRAMS))  # odd, so that all three symbols count in the remainder
+    blocks = 1 + docs.count() * LEAST_SHARDS // (BLOCK_DOCS * shards)
+    profiles = _profiles(flagged, points, ids, shards)
+    scores = settle(_scored(profiles, model, symbol_bits(points), shards, blocks, ids))
     return _judged(scores, max_rows)
 
 

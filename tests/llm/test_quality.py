@@ -226,3 +226,26 @@ def test_sample_follows_the_rates(spark, docs):
     assert kept["small"] == 1000 and 850 < kept["big"] < 1150
     again = Counter(r["source"] for r in mixing.mix(many.repartition(7), {"source": F.col("source")}, targets, seed=1).filter("kept").collect())
     assert kept == again
+
+
+def test_rare_scripts_are_told_apart(spark, docs):
+    """Cyrillic beside a Latin text with more characters than 64: garbage in it goes, clean text stays."""
+    rng = random.Random(12)
+    latin = ["".join(rng.choices([chr(c) for c in range(0x21, 0x7F)], k=4000)) for _ in range(30)]
+    words = "мама мыла раму а папа читал газету и пил чай с молоком".split()
+    good = [" ".join(rng.choices(words, k=60)) for _ in range(120)]
+    garbage = ["".join(rng.sample(text, len(text))) for text in good[100:]]
+    df = docs(latin).unionByName(docs([(100 + i, t) for i, t in enumerate([*good, *garbage])], lang="ru"))
+    got = {r["doc_id"]: r for r in kneser_ney.perplexities(df, df.filter("doc_id < 200").select("doc_id")).collect()}
+    assert all(got[i]["kept"] for i in range(100, 220)) and not any(got[i]["kept"] for i in range(220, 240))
+    assert len(kneser_ney.alphabet(df)) == len(set("".join([*latin, *good])))
+
+
+def test_shards_grow_with_the_model(docs, monkeypatch):
+    rng = random.Random(13)
+    df = docs(["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(300)) for _ in range(40)])
+    trusted = df.filter("doc_id < 30").select("doc_id")
+    before = {r["doc_id"]: (r["n"], r["perplexity"]) for r in kneser_ney.perplexities(df, trusted).collect()}
+    monkeypatch.setattr(kneser_ney, "SHARD_GRAMS", 500)
+    monkeypatch.setattr(kneser_ney, "BLOCK_DOCS", 20)
+    assert before == {r["doc_id"]: (r["n"], r["perplexity"]) for r in kneser_ney.perplexities(df, trusted).collect()}
