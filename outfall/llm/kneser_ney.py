@@ -11,8 +11,10 @@ in size, so that neither a task's share nor the copies for each document grow wi
 probabilities are whole millionths, so that sums do not depend on their order.
 
 A document is rejected when its cross entropy is above a high quantile of that of the trusted
-documents of its language, plus a slack. Short texts are drawn towards the mean: their entropy is that of
-the text and of ``PRIOR_CHARS`` average characters.
+documents of its language. Trusted documents are held out: the trusted texts fall into two halves by a
+hash of the text, and the entropy of each is that under the model of the other half. Short texts are drawn
+towards the mean: their entropy is that of the text and of ``PRIOR_CHARS`` average characters of trusted
+text, held out as well. Texts without characters are kept.
 """
 
 from __future__ import annotations
@@ -43,8 +45,9 @@ SLICE_CHARS, SLICE_DOCS = 400_000, 2_000
 HELD_COUNTS = 2_000_000
 UNIT = 1_000_000
 QUANTILE = 0.99
-SLACK = 0.3
 PRIOR_CHARS = 100
+#: Parts of the trusted texts, each held out once.
+FOLDS = 2
 #: Trusted documents that a language needs for a threshold of its own.
 LEAST_TRUSTED = 50
 _BIN = 0.001
@@ -154,36 +157,54 @@ class Tally:
 
 
 def gram_counts(flagged: DataFrame, points: list[int]) -> DataFrame:
-    """``code``, ``n`` (in all texts) and ``trusted`` (in trusted ones) for every trigram there is.
+    """``code``, and how often in all texts (``n``), in trusted ones and in each fold of these (``trusted_0``...).
 
     A task passes on partial sums: what it has counted by its end, or when it holds too many codes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, tallies = Grams(points), [Tally(), Tally()]
+        grams, tallies = Grams(points), {fold: Tally() for fold in range(-1, FOLDS)}
 
-        def out(good: int) -> pa.RecordBatch:
-            codes, counts = tallies[good].merge()
-            tallies[good] = Tally()
-            held = counts if good else np.zeros_like(counts)
-            return pa.RecordBatch.from_arrays([pa.array(grams.wide(codes)), pa.array(counts), pa.array(held)], ["code", "n", "trusted"])
+        def out(fold: int) -> pa.RecordBatch:
+            codes, counts = tallies[fold].merge()
+            tallies[fold] = Tally()
+            columns = [pa.array(grams.wide(codes)), pa.array(np.full(len(codes), fold, np.int32)), pa.array(counts)]
+            return pa.RecordBatch.from_arrays(columns, ["code", "fold", "n"])
 
         for batch in batches:
-            trusted = np.array(batch.column(1).to_pylist(), bool)
+            folds = np.array(batch.column(1).to_pylist(), np.int32)
             for begin, texts in _slices(batch.column(0)):
                 doc, codes = grams.of(texts)
-                good = trusted[begin + doc]
-                for i, tally in enumerate(tallies):
-                    tally.add(codes[good == bool(i)])
+                at = folds[begin + doc]
+                for fold, tally in tallies.items():
+                    tally.add(codes[at == fold])
                     if tally.size > HELD_COUNTS:
                         tally.merge()
                         if tally.size > HELD_COUNTS // 2:
-                            yield out(i)
-        yield out(0)
-        yield out(1)
+                            yield out(fold)
+        for fold in tallies:
+            yield out(fold)
 
-    rows = flagged.select("text", "is_trusted").mapInArrow(run, "code long, n long, trusted long")
-    return rows.groupBy("code").agg(F.sum("n").alias("n"), F.sum("trusted").alias("trusted"))
+    rows = flagged.select("text", "fold").mapInArrow(run, "code long, fold int, n long")
+    held = [("trusted", F.col("fold") >= 0), *[(f"trusted_{i}", F.col("fold") == i) for i in range(FOLDS)]]
+    return rows.groupBy("code").agg(F.sum("n").alias("n"), *[F.sum(F.when(c, F.col("n")).otherwise(0)).alias(name) for name, c in held])
+
+
+def held_out(counts: DataFrame) -> DataFrame:
+    """``code``, its ``cost``, and ``cost_0``... under the models that lack a fold of the trusted texts.
+
+    Where trusted text is in one fold only, there is nothing else to learn from, so nothing is held out.
+    """
+    counts = settle(counts)
+    sums = counts.agg(F.sum("trusted"), *[F.sum(f"trusted_{i}") for i in range(FOLDS)]).first()
+    model = settle(log_probabilities(counts))
+    for i in range(FOLDS):
+        if sums[0] and sums[0] > sums[i + 1]:
+            rest = counts.select("code", "n", (F.col("trusted") - F.col(f"trusted_{i}")).alias("trusted"))
+            model = model.join(settle(log_probabilities(rest)).withColumnRenamed("cost", f"cost_{i}"), "code")
+        else:
+            model = model.withColumn(f"cost_{i}", F.col("cost"))
+    return settle(model)
 
 
 def _discounts(counts: DataFrame, name: str) -> list[float]:
@@ -246,7 +267,9 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
     return joined.select("code", F.round(-F.log(p) * UNIT).cast("long").alias("cost"))
 
 
-_PROFILE = "row long, shard int, doc_id {ids}, tag long, lang string, is_trusted boolean, codes binary, counts binary"
+#: A trigram's costs under all trusted text, and under that without each fold.
+COSTS = ("cost", *[f"cost_{i}" for i in range(FOLDS)])
+_PROFILE = "row long, shard int, doc_id {ids}, tag long, lang string, fold int, codes binary, counts binary"
 
 
 def _profiles(flagged: DataFrame, points: list[int], ids: str, shards: int) -> DataFrame:
@@ -288,11 +311,11 @@ def _profiles(flagged: DataFrame, points: list[int], ids: str, shards: int) -> D
                         _binary(code.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size], bounds),
                         _binary(parts.astype(np.uint8).reshape(-1, 1), bounds),
                     ],
-                    ["row", "shard", "doc_id", "tag", "lang", "is_trusted", "codes", "counts"],
+                    ["row", "shard", "doc_id", "tag", "lang", "fold", "codes", "counts"],
                 )
             row += len(batch)
 
-    rows = flagged.select("text", "doc_id", "tag", "lang", "is_trusted")
+    rows = flagged.select("text", "doc_id", "tag", "lang", "fold")
     return rows.mapInArrow(run, _PROFILE.format(ids=ids))
 
 
@@ -314,38 +337,39 @@ def _scored(profiles: DataFrame, model: DataFrame, bits: int, shards: int, block
     first, second, third = F.shiftright("code", 2 * _BITS), F.shiftright("code", _BITS).bitwiseAND(mask), F.col("code").bitwiseAND(mask)
     packed = F.shiftleft(first, 2 * bits).bitwiseOR(F.shiftleft(second, bits)).bitwiseOR(third)
     held = (
-        model.select(packed.alias("code"), "cost")
+        model.select(packed.alias("code"), *COSTS)
         .groupBy((F.col("code") % shards).cast("int").alias("shard"))
-        .agg(F.sort_array(F.collect_list(F.struct(F.expr(f"code div {shards}").alias("at"), "cost"))).alias("_grams"))
-        .select("shard", F.col("_grams.at").alias("at"), F.col("_grams.cost").alias("costs"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.expr(f"code div {shards}").alias("at"), *COSTS))).alias("_grams"))
+        .select("shard", *[F.col(f"_grams.{c}").alias(c) for c in ("at", *COSTS)])
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         at = right["at"].combine_chunks().values.to_numpy()
-        cost = right["costs"].combine_chunks().values.to_numpy()
         sizes = np.array([len(c.as_py()) for c in left["counts"]], np.int64)
         whole = np.zeros((int(sizes.sum()), 8), np.uint8)
         whole[:, :size] = np.frombuffer(b"".join(left["codes"].to_pylist()), np.uint8).reshape(-1, size)
         codes = whole.view("<u8").ravel().astype(np.int64)
         counts = np.frombuffer(b"".join(left["counts"].to_pylist()), np.uint8).astype(np.int64)
         begins = np.cumsum(sizes) - sizes
-        costs = cost[np.searchsorted(at, codes)] * counts if len(codes) else np.zeros(0, np.int64)
-        sums = [np.add.reduceat(v, begins) if len(codes) else v for v in (costs, counts)]
-        held = left.select(["row", "doc_id", "tag", "lang", "is_trusted"])
-        return held.append_column("cost", pa.array(sums[0])).append_column("n", pa.array(sums[1]))
-
-    schema = f"row long, doc_id {ids}, tag long, lang string, is_trusted boolean, cost long, n long"
+        place = np.searchsorted(at, codes)
+        out = left.select(["row", "doc_id", "tag", "lang", "fold"])
+        for name in (*COSTS, "n"):
+            values = counts if name == "n" else counts * (right[name].combine_chunks().values.to_numpy()[place] if len(codes) else 0)
+            out = out.append_column(name, pa.array(np.add.reduceat(values, begins) if len(codes) else values))
+        return out
+
+    schema = f"row long, doc_id {ids}, tag long, lang string, fold int, {', '.join(f'{c} long' for c in COSTS)}, n long"
     parts = dealt.groupBy("shard", "block").cogroup(held.groupBy("shard", "block")).applyInArrow(meet, schema)
-    carried = [F.max(c).alias(c) for c in ("doc_id", "tag", "lang", "is_trusted")]
-    return parts.groupBy("row").agg(*carried, F.sum("cost").alias("cost"), F.sum("n").alias("n")).drop("row")
+    carried = [F.max(c).alias(c) for c in ("doc_id", "tag", "lang", "fold")]
+    return parts.groupBy("row").agg(*carried, *[F.sum(c).alias(c) for c in (*COSTS, "n")]).drop("row")
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``, ``lang``), judged by ``trusted`` (``doc_id``).
 
     Returns ``doc_id``, ``tag`` (a hash of the text), ``lang``, ``is_trusted``, ``n`` (characters
-    and the end), ``perplexity``, ``entropy`` (drawn to the mean), ``threshold`` and ``kept``.
+    and the end), ``perplexity`` under all trusted text, ``entropy`` (held out, drawn to the mean), ``threshold`` and ``kept``.
     Null texts count as empty. Languages with few trusted documents, and null, take the threshold
     of all; without trusted documents every row is kept. Repeated rows come back as often.
     """
@@ -355,10 +379,11 @@ def perplexities(docs: DataFrame, trusted: DataFrame, max_rows: int = BROADCAST_
     flagged = (
         docs.select("doc_id", F.col("lang").cast("string"), text.alias("text"), F.xxhash64(text).alias("tag"))
         .join(small(good, max_rows), F.col("doc_id") == F.col("_good"), "left")
-        .withColumn("is_trusted", F.col("_good").isNotNull())
+        # Equal texts are in one fold, else they would not be held out.
+        .withColumn("fold", F.when(F.col("_good").isNull(), -1).otherwise(F.pmod(F.xxhash64(F.lit("fold"), "tag"), F.lit(FOLDS))).cast("int"))
     )
     points = alphabet(docs)
-    model = settle(log_probabilities(gram_counts(flagged, points)))
+    model = held_out(gram_counts(flagged, points))
     shards = LEAST_SHARDS + 2 * (model.count() // (2 * SHARD_GRAMS))  # odd, so that all three symbols count in the remainder
     blocks = 1 + docs.count() * LEAST_SHARDS // (BLOCK_DOCS * shards)
     profiles = _profiles(flagged, points, ids, shards)
@@ -367,9 +392,11 @@ def perplexities(docs: DataFrame, trusted: DataFrame, max_rows: int = BROADCAST_
 
 
 def _judged(scores: DataFrame, max_rows: int) -> DataFrame:
-    sums = scores.filter("is_trusted").agg(F.sum("cost"), F.sum("n")).first()
+    own = F.coalesce(*[F.when(F.col("fold") == i, F.col(f"cost_{i}")) for i in range(FOLDS)], F.col("cost"))
+    scores = scores.withColumn("is_trusted", F.col("fold") >= 0).withColumn("_own", own)
+    sums = scores.filter("is_trusted").agg(F.sum("_own"), F.sum("n")).first()
     mean = sums[0] / sums[1] if sums[1] else 0.0
-    drawn = (F.col("cost") + F.lit(PRIOR_CHARS * mean)) / (F.col("n") + PRIOR_CHARS) / UNIT
+    drawn = (F.col("_own") + F.lit(PRIOR_CHARS * mean)) / (F.col("n") + PRIOR_CHARS) / UNIT
     binned = scores.withColumn("entropy", drawn).withColumn("_bin", F.floor(F.col("entropy") / _BIN))
     good = binned.filter("is_trusted")
     bins = good.groupBy("lang", "_bin").agg(F.count(F.lit(1)).alias("_n"))
@@ -377,7 +404,7 @@ def _judged(scores: DataFrame, max_rows: int) -> DataFrame:
     overall = _quantile(bins.groupBy("_bin").agg(F.sum("_n").alias("_n")).withColumn("_k", F.lit(0)), ["_k"]).first()
     limits = settle(by_lang.select(F.col("lang").alias("_lang"), "_limit"))
     most = F.coalesce("_limit", F.lit(overall["_limit"] if overall else None).cast("long"))
-    threshold = (most + 1) * _BIN + SLACK
+    threshold = (most + 1) * _BIN
     return (
         binned.join(small(limits, max_rows), F.col("lang") == F.col("_lang"), "left")
         .withColumn("threshold", threshold)
@@ -385,7 +412,7 @@ def _judged(scores: DataFrame, max_rows: int) -> DataFrame:
             "doc_id", "tag", "lang", "is_trusted", "n",
             F.exp(F.col("cost") / F.col("n") / UNIT).alias("perplexity"),
             "entropy", "threshold",
-            F.coalesce(F.col("entropy") <= F.col("threshold"), F.lit(True)).alias("kept"),
+            ((F.col("n") == 1) | F.coalesce(F.col("entropy") <= F.col("threshold"), F.lit(True))).alias("kept"),
         )
     )
 
