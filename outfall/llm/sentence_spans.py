@@ -4,7 +4,8 @@ From every sentence on, the shortest run of several sentences with enough words
 the words alone. Runs are joined globally by their hash; every occurrence but the first, in order
 of document and place, is a repeat, and the sentences under a repeat are removed. Sentences end
 at a line's end or after ``.``, ``!`` or ``?`` before white space; a sentence of many words counts as
-several, so that text without marks is cut as well.
+several, so that text without marks is cut as well. It is cut where the words say so, not at a fixed stride, so
+that a passage is cut alike wherever in a sentence it begins.
 """
 
 from __future__ import annotations
@@ -22,14 +23,34 @@ from outfall.llm.words import BROADCAST_ROWS, small, whole_text
 from outfall.operators.skew import fits_broadcast
 from outfall.session import settle
 
-#: A run has so many sentences and words at least; a longer sentence is cut after so many words.
+#: A run has so many sentences and words at least; a longer sentence is cut after so many words at most.
 LEAST_SENTENCES = 2
 LEAST_WORDS = 20
 MOST_WORDS = 12
+#: A longer sentence is cut where the hash of the words on both sides is least among so many places before and after.
+NEAR = 3
 _SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=[\x20\x09-\x0D])|\n|\Z)", re.S)
 _SPACE = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
 
 
+def _cuts(words: list[bytes]) -> list[int]:
+    """How many words come before each cut of a long sentence; neither end is one.
+
+    A cut depends on the ``NEAR`` + 1 words on both sides only. Where none comes for ``MOST_WORDS``, as in text
+    that repeats a word, cuts follow at that stride from the last one.
+    """
+    least = [xxhash.xxh3_64_intdigest(a + b" " + b) for a, b in zip(words[:-1], words[1:], strict=True)]
+    cuts, last = [], 0
+    for i in range(NEAR, len(least) - NEAR):
+        near = least[i - NEAR : i + NEAR + 1]
+        if near.index(min(near)) == NEAR:
+            cuts.extend(range(last + MOST_WORDS, i + 1, MOST_WORDS))
+            last = i + 1
+            cuts.append(last)
+    cuts.extend(range(last + MOST_WORDS, len(words), MOST_WORDS))
+    return cuts
+
+
 def sentences(text: str) -> list[tuple[int, int, str]]:
     """Start, end and text (words joined by a space) of every sentence with a word."""
     found = []
@@ -40,10 +61,10 @@ def sentences(text: str) -> list[tuple[int, int, str]]:
             if words:
                 found.append((begin, end, b" ".join(words).decode()))
             continue
-        cuts = [w.end() for w in _SPACE.finditer(text, begin, end)][MOST_WORDS - 1 :: MOST_WORDS]
-        bounds = [begin, *[c for c in cuts if text[c:end].strip()], end]
-        for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-            found.append((a, b, b" ".join(words[i * MOST_WORDS : (i + 1) * MOST_WORDS]).decode()))
+        ends = [w.end() for w in _SPACE.finditer(text, begin, end)]
+        cuts = [0, *_cuts(words), len(words)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            found.append((ends[a - 1] if a else begin, ends[b - 1] if b < len(words) else end, b" ".join(words[a:b]).decode()))
     return found
 
 

@@ -139,3 +139,20 @@ def test_a_shared_passage_is_cut_once(docs):
     got = {r["doc_id"]: r for r in sentence_spans.cleaned(docs(rows)).collect()}
     assert set(got) == {1, 2} and all(r["first_doc_ids"] == [0] for r in got.values())
     assert all(passage[:40] not in r["text"] and rows[r["doc_id"]][1][:100] in r["text"] for r in got.values())
+
+
+def test_a_passage_within_a_sentence_is_found_at_every_offset(docs):
+    """50 to 70 words without a mark, planted anywhere in longer sentences."""
+    rng = random.Random(15)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    rows, sizes = [], {}
+    for size in (50, 60, 70):
+        for offset in range(13):
+            passage = words(size)
+            rows += [(2 * len(sizes), f"{words(30)} {passage} {words(30)}."), (2 * len(sizes) + 1, f"{words(30 + offset)} {passage} {words(25)}.")]
+            sizes[2 * len(sizes) + 1] = (size, offset)
+    got = {r["doc_id"]: r for r in sentence_spans.cleaned(docs(rows)).collect()}
+    assert set(got) == set(sizes)
+    lost = [size + 55 + offset - len(got[i]["text"].split()) for i, (size, offset) in sizes.items()]
+    assert all(20 <= n <= size for n, (size, _) in zip(lost, sizes.values(), strict=True))
+    assert sum(lost) >= 0.7 * sum(size for size, _ in sizes.values())
