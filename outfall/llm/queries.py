@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outfall.llm import bpe, exact_dedup, kneser_ney, mixing, pii, repetition, sentence_spans, sharding, simhash, token_files
+from outfall.llm import bpe, collocations, exact_dedup, kneser_ney, mixing, pii, repetition, sentence_spans, sharding, simhash, token_files
 from outfall.llm.words import bound_batches
 from outfall.session import send_code_with_tasks, shared_dir
 
@@ -127,3 +127,40 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), tokenizer_path())
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+CHECKS["op11_collocations"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM d),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p),
+s AS (SELECT lang, ws, i, unnest([1, 2, 3]) AS m FROM i),
+f AS (
+  SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM s WHERE i + m - 1 <= len(ws) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE m >= 2 AND f >= 10),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+cuts AS (
+  SELECT k.lang, k.m, k.phrase, k.a, k.k, x.f AS l, y.f AS r,
+         1000000::HUGEINT * k.a * k.a // (x.f::HUGEINT * y.f) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.ws[1:k.k], ' ')
+         JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.ws[k.k + 1:], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS around FROM (
+    SELECT lang, a, array_to_string(ws[1:2], ' ') AS phrase FROM c WHERE m = 3
+    UNION ALL SELECT lang, a, array_to_string(ws[2:3], ' ') FROM c WHERE m = 3) GROUP BY lang, phrase),
+stay AS (
+  SELECT w.lang, w.phrase, w.a, w.l, w.r, w.score FROM weakest w LEFT JOIN inside o USING (lang, phrase)
+  WHERE o.around IS NULL OR 100 * o.around < 50 * w.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM stay JOIN n USING (lang) QUALIFY rank <= 2000
+"""
