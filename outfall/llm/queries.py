@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outfall.llm import bpe, collocations, exact_dedup, kneser_ney, mixing, pii, repetition, sentence_spans, sharding, simhash, token_files
+from outfall.llm import bpe, collocations, exact_dedup, kneser_ney, maxent, mixing, pii, prefix_trie, repetition, sentence_spans, sharding, simhash, token_files
 from outfall.llm.words import bound_batches
 from outfall.session import send_code_with_tasks, shared_dir
 
@@ -164,3 +164,52 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
        phrase, a, l, r, n, CAST(score AS BIGINT) AS score
 FROM stay JOIN n USING (lang) QUALIFY rank <= 2000
 """
+
+
+#: Conversations that share starts, and the number of turns from which on none is shared.
+TRIE_GROUP, TRIE_STARTS = 20, 4
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), TRIE_GROUP, TRIE_STARTS)
+
+
+CHECKS["op12_prefix_trie"] = r"""
+WITH c AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS d, xor(4294967295, list_reduce(
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+    lambda x, b: list_reduce([1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[],
+      lambda y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END, xor(x, b)),
+    4294967295::BIGINT)) % 4 AS h
+  FROM conversations WHERE conv_id IS NOT NULL),
+g AS (
+  SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens,
+         md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos FROM g),
+r AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.digest, t.tokens FROM c JOIN t ON t.conv_id = c.d AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, t.digest, t.tokens FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+m AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS key, tokens FROM r
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+l AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM m),
+n AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(tokens) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+  FROM l GROUP BY key, depth),
+k AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM n x WHERE x.depth = n.depth + 1 AND starts_with(x.key, n.key)) AS n_children
+  FROM n LEFT JOIN n p ON p.depth = n.depth - 1 AND p.key = left(n.key, 32 * p.depth))
+SELECT k.conv_id, k.depth, k.parent_conv_id, k.n_convs, k.n_children, count(*) FILTER (WHERE x.n_children = 0) AS n_leaves,
+       CAST(sum(x.saved) AS BIGINT) AS saved_tokens, k.ends_sha256
+FROM k JOIN k x ON starts_with(x.key, k.key)
+GROUP BY ALL
+"""
+
+
+@query
+def op13_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.language_model_scores(documents(spark, sf_dir))
