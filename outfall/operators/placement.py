@@ -1,8 +1,8 @@
 """Which workers serve which binding.
 
-Workers are few next to bindings (one serves some hundreds), so the healthy ones are held as
-one array that every row sees; a binding's candidates are ranked inside its row. No row is
-paired with every worker, and no shuffle is needed to choose.
+A binding's own order of workers is that of a hash ring (``hash_ring``). Loads are filled up from below by two joins:
+the number of a new copy falls into an interval between two levels of load, and that says the number of
+its worker. Workers and bindings are both tables of any size; neither is ever in one row or one task.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outfall.operators.bindings import distinct_bindings
-from outfall.operators.skew import BROADCAST_BYTES, group_edges, mark_first, running_start, skew_join
+from outfall.operators.hash_ring import with_next_workers
+from outfall.operators.skew import BROADCAST_BYTES, group_edges, mark_first, ordered_start, running_start, skew_join
 from outfall.schema import BINDING_KEY
 from outfall.session import settle
 
@@ -19,8 +20,6 @@ from outfall.session import settle
 COPIES = 2
 #: Bindings that one worker can hold.
 MAX_BINDINGS = 500
-#: Workers whose array may be sent along with every task.
-MAX_WORKERS = 100_000
 
 
 def binding_text(*columns: Column) -> Column:
@@ -33,68 +32,46 @@ def healthy_workers(workers: DataFrame) -> DataFrame:
     return workers.filter(F.col("healthy")).select("worker").dropDuplicates()
 
 
-def _as_array(workers: DataFrame, element: Column) -> Column:
-    """All workers in one value. Far more than any installation has is an error, not a cut."""
-    gathered = F.array_sort(F.collect_list(element))
-    return workers.agg(
-        F.when(F.count(F.lit(1)) <= MAX_WORKERS, gathered)
-        .otherwise(F.raise_error(F.lit(f"more than {MAX_WORKERS} workers")))
-        .alias("workers")
-    ).scalar()
-
-
-def _preference(workers: Column, key: Column) -> Column:
-    """Workers in this binding's own order: highest md5 of key and worker first.
-
-    A worker that comes or goes changes only the bindings that it gains or loses.
-    """
-    scored = F.transform(
-        workers,
-        lambda w: F.struct(F.md5(F.concat(key, F.lit("|"), w).cast("binary")).alias("score"), w.alias("worker")),
-    )
-    return F.transform(F.sort_array(scored, asc=False), lambda s: s["worker"])
-
-
-def with_candidates(bindings: DataFrame, workers: DataFrame) -> DataFrame:
-    """Add ``candidates``: every worker, the preferred one first."""
-    every = _as_array(workers.select("worker").dropDuplicates(), F.col("worker"))
-    return (
-        bindings.withColumn("_workers", every)
-        .withColumn("candidates", _preference(F.col("_workers"), binding_text()))
-        .drop("_workers")
-    )
+def with_candidates(bindings: DataFrame, workers: DataFrame, n: int = COPIES) -> DataFrame:
+    """Add ``candidates``: the ``n`` workers that come next on the ring, the preferred one first."""
+    return with_next_workers(bindings, workers, binding_text(), n)
 
 
 def place(bindings: DataFrame, workers: DataFrame, copies: int = COPIES) -> DataFrame:
     """Each binding on its ``copies`` preferred workers, or on all if there are fewer."""
-    return with_candidates(bindings, workers).select(
-        *BINDING_KEY, F.explode(F.slice("candidates", 1, copies)).alias("worker")
-    )
+    return with_candidates(bindings, workers, copies).select(*BINDING_KEY, F.explode("candidates").alias("worker"))
+
+
+def numbered_workers(workers: DataFrame, *order: str) -> DataFrame:
+    """Distinct workers with ``number``, from 0 by ``order`` and then by name."""
+    return ordered_start(workers, [*order, "worker"], F.lit(1), "number")
 
 
-def place_evenly(bindings: DataFrame, workers: DataFrame, copies: int = COPIES) -> DataFrame:
+def place_evenly(
+    bindings: DataFrame, workers: DataFrame, copies: int = COPIES, max_broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Distinct ``bindings`` dealt out in turn, so that loads differ by one at most.
 
     Binding i goes to workers (i * copies) and following, modulo their number.
     """
-    every = _as_array(workers.select("worker").dropDuplicates(), F.col("worker"))
+    numbered = settle(numbered_workers(workers.select("worker").dropDuplicates()))
+    count = numbered.count()
     indexed = running_start(bindings, binding_text(), F.lit(1), "index")
-    dealt = F.transform(
-        F.sequence(F.lit(0), F.least(F.lit(copies), F.size("_workers")) - 1),
-        lambda c: F.get(
-            F.col("_workers"),
-            F.pmod(F.col("index") * copies + c, F.size("_workers")).cast("int"),
-        ),
-    )
-    return (
-        indexed.withColumn("_workers", every)
-        .filter(F.size("_workers") > 0)
-        .select(*BINDING_KEY, F.explode(dealt).alias("worker"))
+    if count == 0:
+        return indexed.limit(0).select(*BINDING_KEY, F.lit("").alias("worker"))
+    turns = F.sequence(F.lit(0), F.lit(min(copies, count) - 1))
+    dealt = indexed.withColumn("_turn", F.explode(turns)).withColumn(
+        "number", F.pmod(F.col("index") * copies + F.col("_turn"), F.lit(count))
     )
+    return skew_join(dealt, numbered, ["number"], BINDING_KEY, "inner", max_broadcast_bytes).select(*BINDING_KEY, "worker")
 
 
 def rebalance(
-    held: DataFrame, desired: DataFrame, workers: DataFrame, copies: int = COPIES
+    held: DataFrame,
+    desired: DataFrame,
+    workers: DataFrame,
+    copies: int = COPIES,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The next assignment: ``worker``, binding, and ``action`` of add, remove or kept.
 
@@ -106,10 +83,10 @@ def rebalance(
     ``held`` has the bindings that answered workers reported. Those of unhealthy workers are
     left out of the result: nothing can be removed from a worker that does not answer.
     """
-    healthy = healthy_workers(workers)
+    healthy = settle(healthy_workers(workers))
     wanted = distinct_bindings(desired)
     reported = skew_join(
-        held.select("worker", *BINDING_KEY).dropDuplicates(), healthy, ["worker"], BINDING_KEY, "left_semi"
+        held.select("worker", *BINDING_KEY).dropDuplicates(), healthy, ["worker"], BINDING_KEY, "left_semi", max_broadcast_bytes
     )
 
     # One row per binding: which workers hold it, and whether it is wanted.
@@ -119,9 +96,12 @@ def rebalance(
         .groupBy(*BINDING_KEY)
         .agg(F.bool_or("_wanted").alias("_wanted"), F.array_sort(F.collect_set("worker")).alias("_held"))
     )
-    stays = F.when(
-        F.col("_wanted"), F.slice(_preference(F.col("_held"), binding_text()), 1, copies)
-    ).otherwise(F.array().cast("array<string>"))
+    # Of too many copies those stay whose md5 with the key is largest.
+    ranked = F.transform(
+        "_held", lambda w: F.struct(F.md5(F.concat(binding_text(), F.lit("|"), w).cast("binary")).alias("score"), w.alias("worker"))
+    )
+    first = F.transform(F.slice(F.sort_array(ranked, asc=False), 1, copies), lambda s: s["worker"])
+    stays = F.when(F.col("_wanted"), first).otherwise(F.array().cast("array<string>"))
     state = settle(state.withColumn("_kept", stays))
 
     loads = (
@@ -130,35 +110,27 @@ def rebalance(
         .groupBy("worker")
         .agg(F.sum("_one").alias("load"))
     )
-    # Copies it takes to lift all less loaded workers to this one's load.
-    below = Window.orderBy("load", "worker").rowsBetween(Window.unboundedPreceding, -1)
-    levels = loads.withColumn(
-        "level",
-        F.count(F.lit(1)).over(below) * F.col("load") - F.coalesce(F.sum("load").over(below), F.lit(0)),
-    )
-    every = _as_array(levels, F.struct("load", "worker", "level"))
-
     missing = state.filter(F.col("_wanted") & (F.size("_kept") < copies)).withColumn(
         "_missing", F.lit(copies) - F.size("_kept")
     )
-    numbered = running_start(missing, binding_text(), F.col("_missing"), "_slot").withColumn(
-        "_workers", every
-    )
-    names = F.transform("_workers", lambda w: w["worker"])
-    turns = F.transform(
-        F.sequence(F.lit(0), F.col("_missing") - 1),
-        lambda c: _fill(F.col("_workers"), F.col("_slot") + c),
-    )
+    numbered = running_start(missing, binding_text(), F.col("_missing"), "_slot")
+    turns = numbered.withColumn("_turn", F.explode(F.sequence(F.lit(0), F.col("_missing") - 1)))
+    filled = fill(turns.select(*BINDING_KEY, "_turn", (F.col("_slot") + F.col("_turn")).alias("slot")), loads, max_broadcast_bytes)
+    offers = filled.groupBy(*BINDING_KEY).agg(F.sort_array(F.collect_list(F.struct("_turn", "worker"))).alias("_turns"))
+    # Copies that are kept, and turns that are taken twice, leave as many of these as can be missing.
+    ringed = with_next_workers(missing, healthy, binding_text(), 2 * copies, "_next", max_broadcast_bytes=max_broadcast_bytes)
     chosen = F.slice(
         F.filter(
-            F.array_distinct(F.concat(turns, _preference(names, binding_text()))),
+            F.array_distinct(F.concat("_turns.worker", "_next")),
             lambda w: ~F.array_contains(F.col("_kept"), w),
         ),
         1,
         F.col("_missing"),
     )
-    added = numbered.select(F.explode(chosen).alias("worker"), *BINDING_KEY).withColumn(
-        "action", F.lit("add")
+    added = (
+        ringed.join(offers, BINDING_KEY)
+        .select(F.explode(chosen).alias("worker"), *BINDING_KEY)
+        .withColumn("action", F.lit("add"))
     )
     settled = state.select(F.explode("_held").alias("worker"), *BINDING_KEY, "_kept").select(
         "worker",
@@ -168,16 +140,40 @@ def rebalance(
     return added.unionByName(settled)
 
 
-def _fill(workers: Column, slot: Column) -> Column:
-    """The worker that the ``slot``-th new copy goes to when loads are filled up from below.
+def fill(slots: DataFrame, loads: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Add ``worker`` to ``slots``: who takes the copy number ``slot`` when loads are filled up from below.
 
-    ``workers`` is sorted by load. The first m of them are as full as number m once its
-    ``level`` is reached, and from there to the next level they are served in turn.
+    ``slots`` are numbered from 0 without gaps; ``loads`` has ``worker`` and ``load``. With workers in order of load, those
+    up to one load are as full as the next after as many copies as its ``level``; from there on they are served
+    in turn. There are as many levels as different loads, and so at most the root of twice the number of all
+    copies. Without workers there are no rows.
     """
-    reached = F.filter(workers, lambda w: w["level"] <= slot)
-    count = F.size(reached)
-    past = slot - F.get(reached, count - 1)["level"]
-    return F.get(workers, F.pmod(past, count).cast("int"))["worker"]
+    loads = settle(loads)
+    sizes = loads.groupBy("load").agg(F.count(F.lit(1)).alias("_n"))
+    so_far = Window.orderBy("load").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.orderBy("load")
+    steps = sizes.withColumn("open", F.sum("_n").over(so_far)).withColumn("_sum", F.sum(F.col("load") * F.col("_n")).over(so_far))
+    steps = steps.withColumn("level", F.col("open") * F.col("load") - F.col("_sum"))
+    steps = settle(steps.withColumn("end", F.lead("level").over(ahead)).select("open", "level", "end"))
+    # Of intervals and slots, those meet that share a stretch of ``width`` slots.
+    last = slots.agg(F.max("slot")).first()[0]
+    if last is None or steps.isEmpty():
+        return slots.limit(0).withColumn("worker", F.lit(""))
+    width = 1 + last // (4 * steps.count())
+    until = F.least(F.coalesce(F.col("end") - 1, F.lit(last)), F.lit(last))
+    stretches = (
+        steps.filter(F.col("level") <= until)
+        .withColumn("_until", until)
+        .withColumn("_stretch", F.explode(F.sequence(F.expr(f"level div {width}"), F.expr(f"_until div {width}"))))
+    )
+    met = skew_join(
+        slots.withColumn("_stretch", F.expr(f"slot div {width}")), stretches, ["_stretch"], ["slot"], "inner", max_broadcast_bytes
+    ).filter(F.col("slot").between(F.col("level"), F.col("_until")))
+    turn = F.pmod(F.col("slot") - F.col("level"), F.col("open"))
+    numbered = numbered_workers(loads, "load").select("worker", "number")
+    return skew_join(
+        met.withColumn("number", turn).select(*slots.columns, "number"), settle(numbered), ["number"], ["slot"], "inner", max_broadcast_bytes
+    ).drop("number")
 
 
 def cap_workers(

@@ -147,13 +147,25 @@ WORKERS = r"""workers AS (
   SELECT worker, worker <> 'w3' AS healthy FROM (SELECT DISTINCT 'w' || (s_suppkey % 7) AS worker FROM supplier))"""
 
 
+def ring_place(text: str) -> str:
+    """A place on the ring of workers."""
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
+def ranked(name: str, bindings: str, workers: str) -> str:
+    """Each binding of one view with each worker of another, ``place`` 1 being the next one on the ring."""
+    return f"""{name} AS (
+  SELECT *, row_number() OVER (PARTITION BY app_id, hostname, drain ORDER BY far) AS place FROM (
+    SELECT b.app_id, b.hostname, b.drain, w.worker,
+      min((w.place - {ring_place(KEY)} + 1152921504606846976) % 1152921504606846976) AS far
+    FROM {bindings} b CROSS JOIN (SELECT worker, {ring_place("worker || '|' || i")} AS place FROM {workers}, range(16) t(i)) w
+    GROUP BY b.app_id, b.hostname, b.drain, w.worker))"""
+
+
 def placed(name: str, bindings: str, workers: str) -> str:
     """Each binding of one view on its two preferred workers of another."""
-    return f"""{name} AS (
-  SELECT app_id, hostname, drain, worker FROM (
-    SELECT b.app_id, b.hostname, b.drain, w.worker, row_number() OVER (
-      PARTITION BY b.app_id, b.hostname, b.drain ORDER BY md5({KEY} || '|' || w.worker) DESC) AS place
-    FROM {bindings} b CROSS JOIN {workers} w) WHERE place <= 2)"""
+    return f"""{ranked(name + '_ranked', bindings, workers)},
+{name} AS (SELECT app_id, hostname, drain, worker FROM {name}_ranked WHERE place <= 2)"""
 
 
 PAGE_HOSTS = r"""page_hosts AS (

@@ -25,12 +25,13 @@ def _bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {sql.BIND}, {sql.WORKERS}
-SELECT app_id, hostname, drain, string_agg(worker, ',' ORDER BY md5({sql.KEY} || '|' || worker) DESC) AS candidates
-FROM bind CROSS JOIN workers GROUP BY app_id, hostname, drain"""
+    f"""WITH {sql.BIND}, {sql.WORKERS}, {sql.ranked('candidates', 'bind', 'workers')}
+SELECT app_id, hostname, drain, string_agg(worker, ',' ORDER BY place) AS candidates
+FROM candidates WHERE place <= 3 GROUP BY app_id, hostname, drain"""
 )
 def join6_worker_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = placement.with_candidates(_bindings(spark, sf_dir), views.workers(spark, sf_dir))
+    """The three workers that come next on the ring."""
+    ranked = placement.with_candidates(_bindings(spark, sf_dir), views.workers(spark, sf_dir), 3)
     return ranked.select(*BINDING_KEY, F.array_join("candidates", ",").alias("candidates"))
 
 
@@ -79,11 +80,12 @@ turns AS (SELECT app_id, hostname, drain, m, t, slot + t AS s,
     (SELECT count(*) FROM levels l WHERE l.level <= slot + t) AS open_workers,
     (SELECT max(level) FROM levels l WHERE l.level <= slot + t) AS reached
   FROM (SELECT *, unnest(range(0, m)) AS t FROM slots)),
+{sql.ranked('next_workers', 'slots', 'healthy')},
 offers AS (
   SELECT app_id, hostname, drain, m, t AS pos, l.worker FROM turns JOIN levels l ON l.n = (s - reached) % open_workers
   UNION ALL
-  SELECT app_id, hostname, drain, m, 10 + row_number() OVER (PARTITION BY app_id, hostname, drain
-      ORDER BY md5({sql.KEY} || '|' || worker) DESC), worker FROM slots CROSS JOIN healthy),
+  SELECT n.app_id, n.hostname, n.drain, s.m, 10 + n.place, n.worker FROM next_workers n
+    JOIN slots s ON s.app_id = n.app_id AND s.hostname = n.hostname AND s.drain = n.drain),
 open_offers AS (SELECT o.app_id, o.hostname, o.drain, o.m, o.worker, min(o.pos) AS pos FROM offers o
   WHERE NOT EXISTS (SELECT 1 FROM stays s WHERE s.is_wanted AND s.worker = o.worker AND s.app_id = o.app_id
     AND s.hostname = o.hostname AND s.drain = o.drain)
@@ -189,7 +191,7 @@ def _capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All bindings on two workers; every third is new and the key is the order of arrival."""
     bindings = views.bindings(spark, sf_dir)
     numbered = placement.with_candidates(bindings, views.workers(spark, sf_dir)).select(
-        F.explode(F.slice("candidates", 1, placement.COPIES)).alias("worker"),
+        F.explode("candidates").alias("worker"),
         *BINDING_KEY,
         (F.col("custkey") % 3 == 0).alias("is_new"),
         F.col("custkey").alias("arrival"),

@@ -138,3 +138,79 @@ def test_mark_first_against_brute_force(spark, limit, broadcast):
     first = {i for k in "abc" for i in [x[1] for x in sorted((r for r in rows if r[0] == k), key=lambda x: x[2])[:limit]]}
     assert len(marked) == len(rows)
     assert {r["i"] for r in marked if r["is_first"]} == first
+
+
+def on_ring(names, pool, n, points):
+    """The first ``n`` workers after each binding, by hand."""
+    import hashlib
+
+    def place(text):
+        return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+
+    marks = sorted((place(f"{w}|{i}"), w) for w in pool for i in range(points))
+    found = {}
+    for name in names:
+        at = place(f"{name}\x1fh\x1fd")
+        order = [w for p, w in marks if p >= at] + [w for p, w in marks if p < at]
+        found[name] = list(dict.fromkeys(order))[:n]
+    return found
+
+
+@pytest.mark.parametrize("count, points, bucket_points, n", [(1, 4, 1, 2), (2, 3, 1, 3), (5, 2, 1, 3), (30, 4, 2, 4), (30, 16, 64, 2), (3, 1, 1, 3)])
+@pytest.mark.parametrize("broadcast", [0, 10**9])
+def test_ring_against_brute_force(spark, count, points, bucket_points, n, broadcast):
+    from outfall.operators.hash_ring import with_next_workers
+
+    names = [f"app-{i}" for i in range(80)]
+    found = with_next_workers(
+        bindings(spark, *names), workers(spark, count), placement.binding_text(), n, "c", points, bucket_points, broadcast
+    )
+    assert {r["app_id"]: r["c"] for r in found.collect()} == on_ring(names, [f"w{i}" for i in range(count)], n, points)
+
+
+def test_ring_without_workers(spark):
+    assert placement.place(bindings(spark, "a"), workers(spark, 0)).count() == 0
+    assert placement.place_evenly(bindings(spark, "a"), workers(spark, 0)).count() == 0
+
+
+def test_worker_that_leaves_moves_only_its_own(spark):
+    names = [f"app-{i}" for i in range(200)]
+    before = {(r["worker"], r["app_id"]) for r in placement.place(bindings(spark, *names), workers(spark, 6)).collect()}
+    after = {(r["worker"], r["app_id"]) for r in placement.place(bindings(spark, *names), workers(spark, 5)).collect()}
+    assert {w for w, _ in before - after} == {"w5"} and len(after - before) == len(before - after)
+
+
+def test_a_million_workers(spark):
+    pool = spark.range(1_000_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("worker"), F.lit(True).alias("healthy"))
+    names = [f"app-{i}" for i in range(50)]
+    placed = placement.place(bindings(spark, *names), pool).collect()
+    assert Counter(r["app_id"] for r in placed) == {n: 2 for n in names} and len({tuple(r) for r in placed}) == 100
+    moved = placement.rebalance(held(spark, ("w7", "app-0")), bindings(spark, *names), pool)
+    got = moves(moved)
+    assert Counter(a for _, a, _ in got) == {n: 2 for n in names} and ("w7", "app-0", "kept") in got
+    assert max(Counter(w for w, _, _ in got).values()) == 1
+
+
+@pytest.mark.parametrize("broadcast", [0, 10**9])
+def test_fill_against_one_by_one(spark, broadcast):
+    rng = random.Random(7)
+    for case in range(4):
+        loads = {f"w{i}": rng.choice([0, 0, 1, 3, 4, 9]) for i in range(rng.randint(1, 12))}
+        slots = rng.randint(1, 60)
+        now, expected = dict(loads), []
+        for _ in range(slots):  # level by level, in order of the first load and name
+            least = min(now.values())
+            worker = min((w for w in now if now[w] == least), key=lambda w: (loads[w], w))
+            now[worker] += 1
+            expected.append(worker)
+        df = spark.createDataFrame(list(loads.items()), "worker string, load long")
+        got = placement.fill(spark.range(slots).withColumnRenamed("id", "slot"), df, broadcast).collect()
+        assert [r["worker"] for r in sorted(got, key=lambda r: r["slot"])] == expected
+
+
+def test_ordered_start(spark):
+    from outfall.operators.skew import ordered_start
+
+    df = spark.createDataFrame([(i % 3, f"n{i}") for i in range(300)], "a int, b string").repartition(5)
+    rows = ordered_start(df, ["a", "b"], F.lit(1), "n").collect()
+    assert [r["n"] for r in sorted(rows, key=lambda r: (r["a"], r["b"]))] == list(range(300))
