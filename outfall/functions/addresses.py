@@ -68,3 +68,46 @@ def ip_bytes(text: Column) -> Column:
     return F.when(
         text.rlike(_V4_ONLY), F.unhex(F.concat(F.lit("0" * 20 + "FFFF"), _v4_hex(text)))
     ).otherwise(F.when(text.contains(":"), _v6_bytes(text)))
+
+
+def ip_bits(value: Column) -> Column:
+    """The 128 bits of a 16-byte value, as text."""
+    digits = F.hex(value)
+    return F.concat(*[F.lpad(F.conv(F.substring(digits, at, 16), 16, 2), 64, "0") for at in (1, 17)])
+
+
+def prefix_blocks(start: Column, end: Column) -> Column:
+    """The fewest prefixes that have all values from ``start`` to ``end``, both 128 bits as text, and no others.
+
+    Behind the bits that the two ends share, every 0 of the start and every 1 of the end leaves a block beside it
+    that lies inside, and each end is the corner of a last one.
+    """
+    shared = F.size(
+        F.filter(F.sequence(F.lit(1), F.lit(128)), lambda n: F.substring(start, F.lit(1), n) == F.substring(end, F.lit(1), n))
+    )
+    return F.get(
+        F.transform(F.array(shared), lambda p: F.when(_is_block(start, end, p), F.array(F.substring(start, F.lit(1), p))).otherwise(
+            F.concat(_side(start, p, "0"), _side(end, p, "1"))
+        )),
+        F.lit(0),
+    )
+
+
+def _corner(bits: Column, last: str) -> Column:
+    """How many bits are left without the ``last`` ones at the end."""
+    return F.length(F.regexp_replace(bits, f"{last}+$", ""))
+
+
+def _is_block(start: Column, end: Column, shared: Column) -> Column:
+    return (_corner(start, "0") <= shared) & (_corner(end, "1") <= shared)
+
+
+def _side(bits: Column, shared: Column, own: str) -> Column:
+    corner = F.greatest(_corner(bits, own), shared + 1)
+    beside = F.when(corner >= shared + 2, F.sequence(shared + 2, corner)).otherwise(F.array().cast("array<int>"))
+    other = "1" if own == "0" else "0"
+    blocks = F.transform(
+        F.filter(beside, lambda i: F.substring(bits, i, F.lit(1)) == own),
+        lambda i: F.concat(F.substring(bits, F.lit(1), i - 1), F.lit(other)),
+    )
+    return F.concat(F.array(F.substring(bits, F.lit(1), corner)), blocks)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outfall.functions import urls
-from outfall.functions.addresses import ip_bytes
+from outfall.functions.addresses import ip_bits, ip_bytes, prefix_blocks
 from outfall.operators.skew import skew_join
 from outfall.schema import BINDING_KEY
 from outfall.session import settle
@@ -57,35 +57,19 @@ def resolve_hosts(hosts: DataFrame, dns: DataFrame) -> DataFrame:
 def blocked_hosts(resolved: DataFrame, ranges: DataFrame) -> DataFrame:
     """The hosts of ``resolved`` whose address lies in one of ``ranges``, each once.
 
-    Both ends belong to a range. The range join is an equi-join: all addresses of a range begin
-    with the bytes its two ends share, so an address is looked up by its first n bytes, for
-    every n (17 at most) that some range has.
+    Both ends belong to a range. The range join is an equi-join: a range is cut into blocks of addresses with a
+    common prefix, 254 at most, and an address is looked up by its own prefixes, one for each length that some block has.
     """
-    shared = F.size(
-        F.filter(
-            F.sequence(F.lit(1), F.lit(16)),
-            lambda n: F.substring("start16", F.lit(1), n) == F.substring("end16", F.lit(1), n),
-        )
-    )
-    keyed = (
-        ranges.select("start16", "end16")
-        .dropDuplicates()
-        .withColumn("_n", shared)
-        .withColumn("_prefix", F.hex(F.substring(F.col("start16"), F.lit(1), F.col("_n"))))
-    )
-    lengths = keyed.agg(F.array_sort(F.collect_set("_n"))).scalar()
+    bits = ranges.select(ip_bits(F.col("start16")).alias("_s"), ip_bits(F.col("end16")).alias("_e")).dropDuplicates()
+    blocks = settle(bits.select(F.explode(prefix_blocks(F.col("_s"), F.col("_e"))).alias("_prefix")).dropDuplicates())
+    lengths = blocks.agg(F.array_sort(F.collect_set(F.length("_prefix")))).scalar()
     probes = (
-        resolved.select("host", "ip16")
-        .filter(F.col("ip16").isNotNull())
+        resolved.select("host", ip_bits(F.col("ip16")).alias("_bits"))
+        .filter(F.col("_bits").isNotNull())
         .withColumn("_n", F.explode(lengths))
-        .withColumn("_prefix", F.hex(F.substring(F.col("ip16"), F.lit(1), F.col("_n"))))
-    )
-    return (
-        skew_join(probes, keyed, ["_n", "_prefix"], ["host"])
-        .filter(F.col("ip16").between(F.col("start16"), F.col("end16")))
-        .select("host")
-        .dropDuplicates()
+        .select("host", F.substring(F.col("_bits"), F.lit(1), F.col("_n")).alias("_prefix"))
     )
+    return skew_join(probes, blocks, ["_prefix"], ["host"], "left_semi").select("host").dropDuplicates()
 
 
 def validate_bindings(bindings: DataFrame, dns: DataFrame, ranges: DataFrame) -> DataFrame:

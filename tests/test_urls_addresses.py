@@ -66,3 +66,30 @@ def test_ip_bytes_agree_with_the_standard_library(column):
 
     got = [bytes(b) if b is not None else None for b in column(texts, "string", ip_bytes)]
     assert got == [expected(t) for t in texts]
+
+
+def blocks_of(spark, pairs):
+    from outfall.functions.addresses import ip_bits, prefix_blocks
+
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    bits = [ip_bits(ip_bytes(F.col(c))) for c in "ab"]
+    rows = df.select("i", prefix_blocks(*bits).alias("p")).collect()
+    return [r["p"] for r in sorted(rows, key=lambda r: r["i"])]
+
+
+def test_blocks_are_the_fewest_that_cover_a_range(spark):
+    import ipaddress
+
+    rng = random.Random(8)
+    pairs = [("0.0.0.0", "255.255.255.255"), ("10.0.0.0", "11.255.255.255"), ("1.2.3.4", "1.2.3.4"), ("1.2.3.4", "1.2.3.5"), ("0.0.0.1", "255.255.255.254")]
+    pairs += [("2001:db8::", "2001:db8::ffff"), ("::", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff"), ("::1", "8000::")]
+    for _ in range(60):
+        a, b = sorted(rng.getrandbits(rng.choice([8, 16, 32])) for _ in range(2))
+        pairs.append((str(ipaddress.IPv4Address(a)), str(ipaddress.IPv4Address(b))))
+    for (a, b), found in zip(pairs, blocks_of(spark, pairs), strict=True):
+        a, b = ipaddress.ip_address(a), ipaddress.ip_address(b)
+        head = format(0xFFFF, "096b") if a.version == 4 else ""
+        expected = []
+        for net in ipaddress.summarize_address_range(a, b):
+            expected.append(head + format(int(net.network_address), f"0{net.max_prefixlen}b")[: net.prefixlen])
+        assert sorted(found) == sorted(expected)
