@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outfall.functions import rfc5424, urls
+from outfall.operators.selflogs import is_self_log
 from outfall.operators.skew import BROADCAST_BYTES, skew_join
 from outfall.schema import BINDING_KEY
 
@@ -55,6 +56,7 @@ def prerender(envelopes: DataFrame, trim_fraction: bool = False) -> DataFrame:
         rfc5424.head(priority, rfc5424.timestamp_text(F.col("timestamp_ns"), trim_fraction)).alias("head"),
         rfc5424.tail(F.col("source_id"), process_id, structured, text).alias("tail"),
         (~is_gauge | F.col("key").isNotNull()).alias("has_message"),
+        is_self_log().alias("is_self"),
         (
             rfc5424.is_valid_part(F.col("source_id"), rfc5424.MAX_APP_NAME)
             & rfc5424.is_valid_part(process_id, rfc5424.MAX_PROCESS_ID)
@@ -67,10 +69,12 @@ def fan_out(
     bindings: DataFrame,
     spread_by: list[str] | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    heat: DataFrame | None = None,
 ) -> DataFrame:
     """Every envelope with every binding of its app that selects its kind.
 
-    ``bindings`` has ``kinds`` (see ``with_kinds``). Apps match by equality, so an envelope can
+    ``bindings`` has ``kinds`` (see ``with_kinds``). ``heat`` (``source_id``, ``n``) says how many envelopes of an app a
+    micro-batch has, where ``envelopes`` is a stream. Apps match by equality, so an envelope can
     never reach a binding of another app. What depends on the binding alone, ``scheme`` and
     ``binding_valid``, is worked out here, before a row of it is copied for each envelope.
     """
@@ -81,7 +85,7 @@ def fan_out(
         rfc5424.is_valid_part(F.col("hostname"), rfc5424.MAX_HOSTNAME).alias("binding_valid"),
     )
     joined = skew_join(
-        envelopes, targets, ["source_id"], spread_by or ["env_id"], "inner", max_broadcast_bytes
+        envelopes, targets, ["source_id"], spread_by or ["env_id"], "inner", max_broadcast_bytes, heat
     )
     return joined.filter(F.array_contains(F.col("kinds"), F.col("kind"))).withColumn(
         "app_id", F.col("source_id")
@@ -93,10 +97,28 @@ def own_envelopes(routed: DataFrame) -> DataFrame:
     return routed.filter(F.col("source_id") == F.col("app_id"))
 
 
-def replica(envelope_key: Column, replicas: int) -> Column:
+def replica(envelope_key: Column, replicas: int | Column) -> Column:
     """The one of a drain's replicas that sends this envelope."""
     first = F.conv(F.substring(F.md5(envelope_key.cast("string").cast("binary")), 1, 8), 16, 10)
-    return F.pmod(first.cast("long"), F.lit(replicas).cast("long"))
+    count = F.lit(replicas) if isinstance(replicas, int) else replicas
+    return F.pmod(first.cast("long"), count.cast("long"))
+
+
+def shares(assignment: DataFrame, worker: str) -> DataFrame:
+    """The bindings of one worker, with ``replicas``, how many workers have the binding, and ``replica``, its number among them."""
+    by_binding = assignment.groupBy(*BINDING_KEY).agg(F.array_sort(F.collect_set("worker")).alias("_workers"))
+    return by_binding.filter(F.array_contains("_workers", worker)).select(
+        *BINDING_KEY,
+        F.size("_workers").alias("replicas"),
+        (F.array_position("_workers", worker) - 1).cast("long").alias("replica"),
+    )
+
+
+def own_share(routed: DataFrame) -> DataFrame:
+    """Of envelopes with bindings, those that this replica sends. Without replicas that is all of them."""
+    if "replicas" not in routed.columns:
+        return routed
+    return routed.filter(replica(F.col("env_id"), F.col("replicas")) == F.col("replica"))
 
 
 def render(routed: DataFrame) -> DataFrame:

@@ -1,34 +1,50 @@
 """Joins and rankings that hold up when one key has a large share of all rows.
 
 Three rules are kept throughout: a side is broadcast only after its size was measured, or when
-its row count has a fixed bound; a hot key is spread over several tasks, by a hash of row
+its row count has a fixed bound; a key that gives one task too much, read or made, is spread over several, by a hash of row
 content so that a recomputed task gives the same rows; and nothing is dropped to get there.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from outfall.session import settle
 
 #: Text size up to which a joined side is sent to all executors.
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: A key is hot from this share of all rows on, so there are never more hot keys than this.
-HOT_KEYS = 1024
-#: Lanes that every key of a stream is spread over when the other side is too large to broadcast.
-STREAM_LANES = 16
+#: Rows that one key may give one task: those of one side, and those that come out.
+TASK_ROWS = 2_000_000
+#: No more keys than this are hot; where there would be more, as of 10^12 rows, the bound is raised.
+HOT_KEYS = 500_000
+#: Rows of a key that a micro-batch is taken to have where nothing is known of it.
+UNKNOWN_ROWS = 100_000
+#: Lanes for rows without a key, which match nothing.
+_KEYLESS = 1024
 #: First hex digits of an md5 that name an ordering bucket; 16 ** 3 buckets.
 _BUCKET_DIGITS = 3
 
 
+def _width(schema: T.StructType) -> Column:
+    """About the bytes of a row."""
+    fixed, texts = 8, []
+    for field in schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            texts.append(F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            texts.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0)))
+        fixed += 16
+    return reduce(add, texts, F.lit(fixed)).cast("long")
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (as text) against the limit."""
-    width = F.octet_length(F.to_json(F.struct("*"))).cast("long")
-    size = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()["size"]
+    """Measure ``df`` against the limit."""
+    size = df.agg(F.coalesce(F.sum(_width(df.schema)), F.lit(0)).alias("size")).first()["size"]
     return size <= max_bytes
 
 
@@ -39,42 +55,65 @@ def skew_join(
     spread_by: list[str],
     how: str = "inner",
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    heat: DataFrame | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Equi-join ``left`` with ``right`` on the columns ``on``.
 
     A ``right`` that is measured to be small is broadcast and ``left`` is not shuffled at all.
-    Otherwise rows of ``left`` with a hot key are spread by the hash of ``spread_by``, and the
-    matching rows of ``right`` are copied as often. ``how``: inner, left, left_semi, left_anti.
+    Otherwise a key that has more than ``task_rows`` rows, on either side or in the result, is dealt out: ``left``
+    by the hash of ``spread_by`` into some lanes, ``right`` by that of its row into others, and every lane of
+    one side meets every lane of the other. ``how``: inner, left, left_semi, left_anti; but for inner, only ``left`` is dealt.
+
+    A stream cannot be counted first. ``heat`` (``on``, ``n``) may say how many rows of each key a micro-batch has about,
+    as counted in earlier ones.
     """
     if fits_broadcast(right, max_broadcast_bytes):
         return left.join(F.broadcast(right), on, how)
+    if heat is not None:
+        counts = heat.select(*on, F.col("n").alias("_l"))
+    elif left.isStreaming:
+        counts = right.select(*on).dropDuplicates().withColumn("_l", F.lit(UNKNOWN_ROWS))
+    else:
+        counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_l"))
+    hot = _lanes(counts, right.groupBy(*on).agg(F.count(F.lit(1)).alias("_r")), on, how, task_rows)
+    hot = F.broadcast(hot) if fits_broadcast(hot, BROADCAST_BYTES) else hot
 
-    if left.isStreaming:
-        # A stream cannot be counted first, so all keys get the same lanes.
-        lane = F.pmod(F.xxhash64(*spread_by), F.lit(STREAM_LANES).cast("long"))
-        lanes = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(STREAM_LANES - 1).cast("long")))
-        return left.withColumn("_lane", lane).join(right.withColumn("_lane", lanes), [*on, "_lane"], how).drop("_lane")
-
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    hot = counts.filter(F.col("_n") * HOT_KEYS >= total).select(
-        *on, F.ceil(F.col("_n") * HOT_KEYS / total).cast("int").alias("_ways")
-    )
     # A row without a key matches nothing, whichever lane it is in.
     keyless = reduce(or_, [F.col(c).isNull() for c in on])
-    ways = F.when(keyless, HOT_KEYS).otherwise(F.coalesce("_ways", F.lit(1)))
-    spread = (
-        left.join(F.broadcast(hot), on, "left")
-        .withColumn("_lane", F.pmod(F.xxhash64(*spread_by), ways))
-        .drop("_ways")
+    zero, mine = F.lit(0).cast("long"), F.xxhash64(*[F.col(f"`{f.name}`") for f in right.schema.fields if _hashable(f.dataType)])
+    spread = left.join(hot, on, "left").withColumn(
+        "_lane", F.pmod(F.xxhash64(*spread_by), F.when(keyless, _KEYLESS).otherwise(F.coalesce("_a", F.lit(1))))
     )
-    copies = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn("_lane", F.explode(F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1)))
-        .withColumn("_lane", F.col("_lane").cast("long"))
-        .drop("_ways")
-    )
-    return spread.join(copies, [*on, "_lane"], how).drop("_lane")
+    copies = right.join(hot, on, "left").withColumn("_lane", F.explode(F.sequence(zero, F.coalesce("_a", F.lit(1)) - 1)))
+    if how != "inner":
+        return spread.drop("_a", "_b").join(copies.drop("_a", "_b"), [*on, "_lane"], how).drop("_lane")
+    spread = spread.withColumn("_turn", F.explode(F.sequence(zero, F.coalesce("_b", F.lit(1)) - 1)))
+    copies = copies.withColumn("_turn", F.pmod(mine, F.coalesce("_b", F.lit(1))))
+    return spread.drop("_a", "_b").join(copies.drop("_a", "_b"), [*on, "_lane", "_turn"], how).drop("_lane", "_turn")
+
+
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return _hashable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, T.MapType)
+
+
+def _lanes(left: DataFrame, right: DataFrame, on: list[str], how: str, task_rows: int) -> DataFrame:
+    """The hot keys, and into how many lanes ``left`` (``_a``) and ``right`` (``_b``) are dealt.
+
+    The two are chosen so that the rows that are copied are fewest.
+    """
+    both = left.join(right, on).withColumn("_out", F.greatest(F.col("_l") * F.col("_r"), F.col("_l"), F.col("_r")))
+    both = settle(both)
+    total = both.agg(F.sum(F.col("_out").cast("double"))).first()[0] or 0.0
+    bound = max(task_rows, int(total / HOT_KEYS))
+    cells = F.ceil(F.col("_out") / bound).cast("double")
+    even = F.ceil(F.sqrt(cells * F.col("_l") / F.col("_r")))
+    a = cells if how != "inner" else F.greatest(F.lit(1), F.least(even, cells))
+    dealt = both.filter(F.col("_out") > bound).withColumn("_a", F.least(a, F.col("_l")).cast("long"))
+    b = F.lit(1) if how != "inner" else F.least(F.ceil(cells / F.col("_a")), F.col("_r"))
+    return settle(dealt.select(*on, "_a", b.cast("long").alias("_b")))
 
 
 def group_edges(
@@ -154,3 +193,24 @@ def running_start(df: DataFrame, key: Column, weight: Column, name: str) -> Data
         .withColumn(name, F.col("_start") + F.col("_inside"))
         .drop("_md5", "_weight", "_bucket", "_inside", "_start")
     )
+
+
+def ordered_start(df: DataFrame, order: list[str], weight: Column, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``weight`` over all rows before this one in the order of the columns ``order``.
+
+    These must tell all rows apart. The table is dealt by ranges and written down, so that the ranges stay as they
+    are; rows are then added up inside their range, and the ranges' sums, one row each, in a second step.
+    """
+    dealt = settle(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).withColumn("_weight", weight.cast("long"))
+    )
+    sums = dealt.groupBy("_range").agg(F.sum("_weight").alias("_sum"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        dealt.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
+        .join(F.broadcast(starts), "_range")  # a row per shuffle partition
+        .withColumn(name, F.col("_start") + F.col("_inside"))
+        .drop("_range", "_weight", "_inside", "_start")
+    )

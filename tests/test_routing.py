@@ -46,7 +46,7 @@ def test_skew_join_gives_the_same_rows_both_ways(spark, how):
         [("hot", j) for j in range(3)] + [(f"k{rng.randrange(60)}", j) for j in range(50)] + [(None, 9)], "k string, j int"
     )
     small = skew_join(left, right, ["k"], ["i"], how)
-    salted = skew_join(left, right, ["k"], ["i"], how, max_broadcast_bytes=0)
+    salted = skew_join(left, right, ["k"], ["i"], how, max_broadcast_bytes=0, task_rows=50)
     plain = left.join(right, "k", how)
     assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
     assert Counter(map(tuple, small.collect())) == Counter(map(tuple, plain.collect()))
@@ -56,7 +56,7 @@ def test_skew_join_gives_the_same_rows_both_ways(spark, how):
 def test_hot_keys_are_spread(spark):
     left = spark.range(4000).select(F.lit("hot").alias("k"), "id")
     right = spark.createDataFrame([("hot", 1)], "k string, j int")
-    joined = skew_join(left, right, ["k"], ["id"], max_broadcast_bytes=0)
+    joined = skew_join(left, right, ["k"], ["id"], max_broadcast_bytes=0, task_rows=300)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
@@ -66,6 +66,22 @@ def test_hot_keys_are_spread(spark):
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 2000
 
 
+@pytest.mark.parametrize("n_left, n_right", [(4, 4000), (4000, 4), (120, 130)])
+def test_a_key_is_dealt_out_by_what_it_gives(spark, n_left, n_right):
+    """An app with many drains and few envelopes is split as well as one with many envelopes and few drains."""
+    left = spark.range(n_left).select(F.lit("hot").alias("k"), "id").unionByName(spark.createDataFrame([("cold", -1)], "k string, id long"))
+    right = spark.range(n_right).select(F.lit("hot").alias("k"), F.col("id").alias("j"), F.create_map(F.lit(1), F.lit(2)).alias("m"))
+    joined = skew_join(left, right, ["k"], ["id"], max_broadcast_bytes=0, task_rows=1000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in sizes) == n_left * n_right
+    assert len(sizes) >= 3 and max(r["count"] for r in sizes) < 0.6 * n_left * n_right
+    assert joined.select("id", "j").distinct().count() == n_left * n_right
+
+
 def test_size_check(spark):
     assert fits_broadcast(spark.range(10), 1000)
     assert not fits_broadcast(spark.range(1000), 1000)
