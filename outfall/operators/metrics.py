@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,27 @@ def dropped(lost: DataFrame) -> DataFrame:
     )
 
 
+def written(*counted: DataFrame, now: Column) -> DataFrame:
+    """Counters and gauges as rows of one table: ``ts``, ``name``, ``scheme``, ``worker``, ``delta`` and ``value``.
+
+    Each of ``counted`` has ``name`` and one of ``delta`` (of a counter) and ``value`` (of a gauge).
+    """
+    rows = None
+    for part in counted:
+        columns = {"scheme": "string", "worker": "string", "delta": "long", "value": "double"}
+        filled = [(F.col(c) if c in part.columns else F.lit(None)).cast(t).alias(c) for c, t in columns.items()]
+        part = part.select(now.cast("timestamp").alias("ts"), "name", *filled)
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+def pulse_of(rows: DataFrame, interval: str = "1 minute") -> DataFrame:
+    """The pulse of what ``written`` gave: names of counters by scheme, of gauges by worker, end in these."""
+    name = F.concat_ws(".", "name", "scheme", "worker")
+    named = rows.withColumn("name", name)
+    return pulse(named.filter("delta IS NOT NULL"), named.filter("value IS NOT NULL"), interval)
+
+
 def drain_bindings(assignment: DataFrame) -> DataFrame:
     return assignment.groupBy("worker").agg(F.count(F.lit(1)).alias("drain_bindings"))
 

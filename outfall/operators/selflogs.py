@@ -76,14 +76,19 @@ def not_scheduled_logs(rejects: DataFrame) -> DataFrame:
     return _rows(rejects, F.lit(NOT_SCHEDULED), "LGR", F.col("worker"))
 
 
+#: The tag of envelopes that are self-logs, from which no further ones are made.
+SELF_TAG = "self_log"
+
+
 def as_envelopes(self_logs: DataFrame, timestamp_ns: Column, env_id: Column) -> DataFrame:
     """Self-logs in the envelope schema, to go out through the app's own drains."""
+    tags = F.create_map(F.lit("source_type"), F.col("source_type"), F.lit(SELF_TAG), F.lit("1"))
     return self_logs.select(
         env_id.alias("env_id"),
         "source_id",
         "instance_id",
         timestamp_ns.cast("long").alias("timestamp_ns"),
-        F.create_map(F.lit("source_type"), "source_type").alias("tags"),
+        tags.alias("tags"),
         F.lit("log").alias("kind"),
         F.struct(F.col("payload").cast("binary").alias("payload"), F.lit("ERR").alias("type")).alias("log"),
         F.lit(None).cast("struct<metrics:map<string,struct<unit:string,value:double>>>").alias("gauge"),
@@ -91,5 +96,9 @@ def as_envelopes(self_logs: DataFrame, timestamp_ns: Column, env_id: Column) ->
     )
 
 
+def is_self_log() -> Column:
+    return F.coalesce(F.try_element_at("tags", F.lit(SELF_TAG)) == "1", F.lit(False))
+
+
 def with_self_logs(envelopes: DataFrame, self_log_envelopes: DataFrame) -> DataFrame:
     return envelopes.unionByName(self_log_envelopes)

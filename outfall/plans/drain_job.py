@@ -6,27 +6,29 @@ to the list of terms. A term that fails before that leaves everything as it was.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from outfall.operators import metrics, selflogs
 from outfall.operators.bindings import distinct_bindings
 from outfall.operators.placement import COPIES, MAX_BINDINGS, cap_workers, healthy_workers, rebalance
+from outfall.operators.routing import shares
 from outfall.operators.validation import kept_bindings, rejected_bindings, validate_bindings
-from outfall.schema import BINDING_KEY, HELD
+from outfall.schema import BINDING, BINDING_KEY, HELD
 from outfall.session import temporary_folders
+from outfall.sources import versions
 from outfall.sources.drain_table import IncompleteSnapshot, fetch_bindings
 
-_TERMS = "term long"
+#: Terms whose tables stay, for those who still read them and for looking back.
+KEEP_TERMS = 100
 
 
 def last_term(spark: SparkSession, state_dir: str) -> int:
     """Number of the current term, 0 before the first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{state_dir}/terms")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return 0
-    terms = spark.read.schema(_TERMS).parquet(f"{state_dir}/terms")
-    return terms.agg(F.coalesce(F.max("term"), F.lit(0)).alias("term")).first()["term"]
+    return versions.last_version(spark, state_dir, "terms", "term")
 
 
 def read_state(spark: SparkSession, state_dir: str, table: str, term: int | None = None) -> DataFrame:
@@ -34,6 +36,23 @@ def read_state(spark: SparkSession, state_dir: str, table: str, term: int | None
     return spark.read.parquet(f"{state_dir}/term={term}/{table}")
 
 
+def current_bindings(spark: SparkSession, state_dir: str) -> Callable[[], DataFrame]:
+    """A reader of the bindings of the term that counts when it is called, for ``start_fan_out``."""
+    return lambda: _current(spark, state_dir, "bindings", BINDING)
+
+
+def worker_shares(spark: SparkSession, state_dir: str, worker: str) -> Callable[[], DataFrame]:
+    """A reader of what one worker serves in the current term, with its share of each binding's stream."""
+    return lambda: shares(_current(spark, state_dir, "assignment", HELD), worker)
+
+
+def _current(spark: SparkSession, state_dir: str, table: str, schema: StructType) -> DataFrame:
+    term = last_term(spark, state_dir)
+    if term == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{state_dir}/term={term}/{table}")
+
+
 def held_copies(spark: SparkSession, state_dir: str) -> DataFrame:
     """Copies that workers hold after the current term, also those of workers that did not answer."""
     term = last_term(spark, state_dir)
@@ -108,9 +127,14 @@ def _term(landed, dns, ranges, workers, state_dir, copies, max_bindings, held) -
     health = metrics.health_counters(metrics.worker_health(workers), metrics.drain_health(validated))
     write(metrics.health_json(health), "health")
     write(distinct_bindings(kept), "bindings")
-    write(placed.filter("is_accepted").select("worker", *BINDING_KEY), "assignment")
+    assignment = write(placed.filter("is_accepted").select("worker", *BINDING_KEY), "assignment")
+    counted = [
+        metrics.drains(kept), metrics.adapters(workers), metrics.bad_connections(workers), metrics.rejected_bindings(placed),
+        metrics.drain_bindings(assignment).select("worker", F.lit("drain_bindings").alias("name"), F.col("drain_bindings").alias("value")),
+    ]
+    write(metrics.written(*counted, now=F.current_timestamp()), "metrics")
     # Only now does the term count.
-    spark.range(term, term + 1).select(F.col("id").alias("term")).write.mode("append").parquet(
-        f"{state_dir}/terms"
-    )
+    versions.settle_version(spark, state_dir, term, "terms", "term")
+    if term > KEEP_TERMS:
+        versions.remove(spark, f"{state_dir}/term={term - KEEP_TERMS}")
     return True

@@ -82,3 +82,27 @@ def test_reason_of_a_refused_term_is_written(spark, tmp_path):
     assert not term(spark, str(tmp_path), pages(spark, {}, status=500))
     refused = spark.read.parquet(f"{tmp_path}/refused").collect()
     assert len(refused) == 1 and refused[0]["term"] == 1 and "500" in refused[0]["reason"]
+
+
+def test_terms_feed_the_streams_and_the_pulse(spark, tmp_path):
+    from outfall.operators import metrics
+
+    state = str(tmp_path)
+    read, share = drain_job.current_bindings(spark, state), drain_job.worker_shares(spark, state, "w1")
+    assert read().count() == 0 and share().count() == 0
+    apps = {f"app-{i}": ("h", ["syslog://1.1.1.1/"]) for i in range(4)}
+    assert term(spark, state, pages(spark, apps), count=2)
+    assert read().count() == 4
+    assert {(r["replicas"], r["replica"]) for r in share().collect()} == {(2, 1)}
+    assert term(spark, state, pages(spark, apps), count=2, failing=(0,))
+    assert {(r["replicas"], r["replica"]) for r in share().collect()} == {(1, 0)}
+    pulse = metrics.pulse_of(drain_job.read_state(spark, state, "metrics"), "1 hour").collect()
+    values = {r["name"]: r["value"] for r in pulse}
+    assert values == {"drains": 4, "adapters": 1, "bad_adapter_connections": 1, "rejected_bindings": 0, "drain_bindings.w1": 4}
+
+
+def test_old_terms_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(drain_job, "KEEP_TERMS", 1)
+    for _ in range(2):
+        assert term(spark, str(tmp_path), pages(spark, {}))
+    assert sorted(p.name for p in tmp_path.iterdir() if p.name.startswith("term=")) == ["term=2"]
