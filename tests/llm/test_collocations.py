@@ -5,8 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from outfall.llm import collocations
-from outfall.llm.collocations import packed, unpacked
+from outfall.llm import blocks, collocations
 
 
 def brute(rows, support=10, top=2000, percent=50):
@@ -79,8 +78,8 @@ def test_shards_list_less_where_there_are_few(spark):
     assert rows.count() == 4
     rows = rows.withColumn("allowed", collocations.share_of_support(F.col("size"), 4 * (len(text) + 1), 10))
     assert {r["allowed"] for r in rows.collect()} == {3}
-    blocks = collocations.mined_lists(rows, 9, 2).collect()
-    assert sum(unpacked(b["listed"]).shape[1] for b in blocks) == 4 * 3  # x, y and x y
+    lists = collocations.mined_lists(rows, 9, 2).collect()
+    assert sum(blocks.unpacked(b["listed"], 2).shape[1] for b in lists) == 4 * 3  # x, y and x y
     assert {tuple(r)[2] for r in collocations.collocations(df, shard_bytes=len(text)).collect()} == {"x y"}
 
 
@@ -99,7 +98,13 @@ def test_fingerprints_that_coincide_change_no_count(spark, monkeypatch):
 
 def test_packing():
     low, counts = np.array([0, 5, 6, 2**32 - 1]), np.array([1, 2, 3, 70_000])
-    assert unpacked(packed(low, counts)).tolist() == [low.tolist(), counts.tolist()]
+    assert blocks.unpacked(blocks.packed(low, counts), 2).tolist() == [low.tolist(), counts.tolist()]
+    assert blocks.unpacked(blocks.packed(low), 1).tolist() == [low.tolist()]
+    buckets = np.array([0, 0, 3, 3, 3, 9])
+    bits = np.array([True, False, True, True, False, False])
+    told = {b: blocks.packed_bits(bits[part]) for b, part in blocks.runs(buckets) if bits[part].any()}
+    assert blocks.unpacked_bits(buckets, told).tolist() == bits.tolist() and 9 not in told
+    assert blocks.bucket_bits(0) == 9 and blocks.bucket_bits(10**13) == 22
 
 
 def test_words_are_the_same_in_slices(monkeypatch):
