@@ -139,15 +139,17 @@ def set2_self_logs_through_the_stream(spark: SparkSession, sf_dir: str) -> DataF
 
 
 @query(
-    f"""WITH {_BUFFERED}, counts AS (
+    f"""WITH {sql.ROUTED},
+{_BUFFERED.removeprefix(f'{sql.SELECTED}, {sql.ENV},')},
+routed_once AS (SELECT DISTINCT e.env_id, b.custkey FROM env e
+  JOIN selected b ON b.app_id = e.source_id AND list_contains(b.kinds, e.kind)),
+counts AS (
   SELECT 'dropped' AS name, CAST(sum(missed) AS DOUBLE) AS value FROM lost
   UNION ALL SELECT 'ingress', count(*) FROM routed_once
   UNION ALL SELECT 'drain_bindings', count(*) FROM selected
   UNION ALL SELECT 'egress.' || m.scheme, count(*) FROM messages m JOIN buffered b ON b.env_id = m.env_id
     AND b.app_id = m.app_id AND b.hostname = m.hostname AND b.drain = m.drain
-  WHERE b.is_buffered AND m.is_valid AND m.scheme IN ('syslog', 'https') GROUP BY m.scheme),
-routed_once AS (SELECT DISTINCT e.env_id, b.custkey FROM env e
-  JOIN selected b ON b.app_id = e.source_id AND list_contains(b.kinds, e.kind))
+  WHERE b.is_buffered AND m.is_valid AND m.scheme IN ('syslog', 'https') GROUP BY m.scheme)
 SELECT '2024-01-01 00:00:00' AS "start", name, CASE WHEN name = 'drain_bindings' THEN 'gauge' ELSE 'counter' END AS metric,
   value FROM counts"""
 )
