@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outfall.llm.words import BROADCAST_ROWS, WHITE, small, whole_text
+from outfall.llm.words import BROADCAST_ROWS, WHITE, carried, restored, small, whole_text
 from outfall.session import settle
 
 Digest = Callable[[Column], Column]
@@ -87,17 +87,13 @@ def drop_copies(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     stay = marks.filter(F.col("kept")).select("doc_id", "text_sha256")
     both = settle(gone.join(stay, _same_row(gone, stay), "left_semi").distinct())
     gone = small(settle(gone.distinct()), max_rows)
-    named = docs.withColumn("_sha", F.sha2(normalised(F.col("text")), 256))
-    kept = named.join(gone, _is_row(named, gone), "left_anti").drop("_sha")
+    named = carried(docs, F.sha2(normalised(F.col("text")), 256).alias("_sha"))
+    kept = restored(named.join(gone, _is_row(named, gone), "left_anti"))
     if both.isEmpty():
         return kept
     repeated = named.join(small(both, max_rows), _is_row(named, both), "left_semi")
-    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"ignoreNullFields": "false"})
-    once = (
-        repeated.groupBy("doc_id", "_sha")
-        .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), others).alias("_row"))
-        .select("_row.*")
-    )
+    others = F.to_json("_whole", {"ignoreNullFields": "false"})
+    once = restored(repeated.groupBy("doc_id", "_sha").agg(F.min_by("_whole", others).alias("_whole")))
     return kept.unionByName(once)
 
 

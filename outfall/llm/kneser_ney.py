@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from outfall.llm.words import BROADCAST_ROWS, small, whole_text
+from outfall.llm.words import BROADCAST_ROWS, carried, restored, small, whole_text
 from outfall.session import settle
 
 #: All symbols that there may be: the code points, and the ends of a text. 21 bits each in ``code``.
@@ -434,4 +434,4 @@ def drop_rejected(docs: DataFrame, trusted: DataFrame, max_rows: int = BROADCAST
         lambda a, b: a & b,
         [F.col("doc_id").eqNullSafe(F.col("_id")), F.xxhash64(whole_text(F.col("text"))) == F.col("_tag")],
     )
-    return docs.join(gone, same, "left_anti")
+    return restored(carried(docs).join(gone, same, "left_anti"))

@@ -26,11 +26,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outfall.llm.words import BROADCAST_ROWS, small
+from outfall.llm.words import BROADCAST_ROWS, carried, restored, small
 from outfall.session import settle
 
 HASH_SEED = 42
 MAX_BITS = 2
+#: Shingles that are hashed at once.
+SLICE = 100_000
 #: Fixed reference fingerprints: as many, from the golden ratio's Weyl sequence.
 PIVOTS = 12
 #: Members up to which a bucket's pairs are formed.
@@ -46,12 +48,14 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
         return 0
-    parts = [words] if len(words) < shingle else [words[i : i + shingle] for i in range(len(words) - shingle + 1)]
+    n = max(1, len(words) - shingle + 1)
     digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(b" ".join(p), HASH_SEED) for p in parts])
-    bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
-    set_in = np.add.reduce(bits, axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * set_in > len(parts)).tobytes(), "big")
+    set_in = np.zeros(64, np.int64)
+    for at in range(0, n, SLICE):  # long texts in slices, so that their hashes are never all there
+        hashes = b"".join([digest(b" ".join(words[i : i + shingle]), HASH_SEED) for i in range(at, min(at + SLICE, n))])
+        bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
+        set_in += np.add.reduce(bits, axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * set_in > n).tobytes(), "big")
 
 
 def with_fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -197,17 +201,17 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, max_rows: int = BROADCAS
     found = near_copies(docs, shingle, max_rows=max_rows)
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = settle(gone.select(F.col("doc_id").alias("_gone"), "fp").distinct())
+    rows = carried(docs)
     if gone.filter(F.col("_gone").isNull()).isEmpty():
-        return docs.join(small(gone, max_rows), F.col("doc_id") == F.col("_gone"), "left_anti")
+        return restored(rows.join(small(gone, max_rows), F.col("doc_id") == F.col("_gone"), "left_anti"))
     named = gone.filter(F.col("_gone").isNotNull())
     lost = gone.filter(F.col("_gone").isNull()).select(F.col("fp").alias("_lost"))
-    ids = docs.filter(F.col("doc_id").isNotNull()).join(
+    ids = rows.filter(F.col("doc_id").isNotNull()).join(
         small(named, max_rows), F.col("doc_id") == F.col("_gone"), "left_anti"
     )
-    nameless = docs.filter(F.col("doc_id").isNull()).withColumn("_fp", fingerprint_column(shingle)(F.col("text")))
-    return ids.unionByName(
-        nameless.join(small(lost, max_rows), F.col("_fp") == F.col("_lost"), "left_anti").drop("_fp")
-    )
+    nameless = rows.filter(F.col("doc_id").isNull()).withColumn("_fp", fingerprint_column(shingle)(F.col("text")))
+    stay = nameless.join(small(lost, max_rows), F.col("_fp") == F.col("_lost"), "left_anti").drop("_fp")
+    return restored(ids.unionByName(stay))
 
 
 def fingerprint_column(shingle: int):

@@ -21,6 +21,19 @@ def whole_text(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def carried(docs: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id``, ``text``, ``more``, and whole rows of ``docs`` in one column, which ``restored`` gives back.
+
+    So no column of ``docs`` has the name of one that an operator makes, whatever it is called.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
+    return docs.select("doc_id", "text", *more, whole)
+
+
+def restored(rows: DataFrame) -> DataFrame:
+    return rows.select("_whole.*")
+
+
 def n_words(text: Column) -> Column:
     return F.regexp_count(whole_text(text), F.lit(WORD)).cast("long")
 

@@ -6,8 +6,12 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-#: Extra columns whose names the operators use themselves.
-CLASHES = ["kept", "keep_id", "spans", "row", "shard", "fp", "_weight", "probability", "n_words", "tag", "ids"]
+#: Extra columns whose names the operators use themselves, and some that need quoting.
+CLASHES = [
+    "kept", "keep_id", "spans", "row", "shard", "fp", "_weight", "probability", "n_words", "tag", "a.b", "a b", "_sha", "_hash",
+    "_text", "_gone", "_lost", "_fp", "_id", "_tag", "_copy", "_spans", "copy", "_cell_lang", "_mix_kept", "_cell_source",
+    "text_sha256", "begin", "end", "size", "_row", "_n", "known", "chunk", "body", "held", "label",
+]
 
 
 @pytest.fixture
@@ -23,7 +27,7 @@ def docs(spark):
         if clashes:
             from pyspark.sql import functions as F
 
-            df = df.withColumns({c: F.lit("x") for c in CLASHES})
+            df = df.select("*", *[F.lit("x").alias(c) for c in CLASHES])
         return df
 
     return make
