@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from outfall.llm.words import whole_text
+from outfall.llm.words import carried, restored, whole_text
 from outfall.session import settle
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -146,7 +146,9 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # A candidate that touches a base span is that span again.
     here = Window.partitionBy("row").orderBy("start", F.desc("is_base"), "end")
     earlier = F.max(F.when(F.col("is_base"), F.col("end"))).over(here.rowsBetween(Window.unboundedPreceding, 0))
-    later = F.min(F.when(F.col("is_base"), F.col("start"))).over(here.rowsBetween(0, Window.unboundedFollowing))
+    # The other way round, so that Spark adds each row to what it has instead of beginning anew for each.
+    back = Window.partitionBy("row").orderBy(F.desc("start"), "is_base", F.desc("end"))
+    later = F.min(F.when(F.col("is_base"), F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, 0))
     apart = (F.coalesce(earlier, F.lit(-1)) <= F.col("start")) & (F.coalesce(later, F.col("end")) >= F.col("end"))
     placed = placed.withColumn("_apart", apart).filter(F.col("is_base") | F.col("_apart"))
     kind, hit, left, right = (F.col(c) for c in ("kind", "hit", "left", "right"))
@@ -266,7 +268,6 @@ def redact(docs: DataFrame, marked: DataFrame, mark: str = "<{}>") -> DataFrame:
 
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
     done = F.aggregate(ordered, start, step, lambda s: F.concat(s["text"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    names = docs.columns
-    return docs.join(marked.select("doc_id", "spans"), "doc_id", "left").withColumn(
-        "text", F.when(F.coalesce(F.col("spans"), F.lit("")) == "", F.col("text")).otherwise(done)
-    ).select(*names)
+    rows = carried(docs).join(marked.select("doc_id", "spans"), "doc_id", "left")
+    new = F.when(F.coalesce(F.col("spans"), F.lit("")) == "", F.col("text")).otherwise(done)
+    return restored(rows.select(F.col("_whole").withField("text", new).alias("_whole")))

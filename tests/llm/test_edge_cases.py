@@ -3,7 +3,9 @@
 import pytest
 
 import corpus_pipeline
-from outfall.llm import bpe, exact_dedup, kneser_ney, mixing, pii, repetition, sentence_spans, sharding, simhash, token_files, words
+from outfall.llm import (
+    bpe, collocations, exact_dedup, kneser_ney, maxent, mixing, pii, repetition, sentence_spans, sharding, simhash, token_files, words,
+)
 from outfall.llm.queries import END_ID, mixing_dimensions, tokenizer_path
 from outfall.session import shared_dir
 
@@ -30,6 +32,7 @@ EACH = {
     "tokens": tokens,
     "mixing": lambda df: mixing.mix(df, mixing_dimensions(), 0.8),
     "bpe": lambda df: bpe.encode_digests(df, tokenizer_path()),
+    "maxent": maxent.language_model_scores,
     "perplexity": lambda df: kneser_ney.perplexities(df, df.filter("doc_id < 6").select("doc_id")),
 }
 
@@ -65,6 +68,42 @@ def test_stages_with_odd_rows(spark, docs, sample, name, stage):
         assert got.count() <= len(rows)
 
 
+#: Operators that return rows of the table with all their columns.
+WHOLE = {
+    "drop_copies": exact_dedup.drop_copies,
+    "drop_near_copies": simhash.drop_near_copies,
+    "drop_rejected": lambda df: kneser_ney.drop_rejected(df, df.filter("doc_id < 6").select("doc_id")),
+    "dedup_spans": sentence_spans.dedup_spans,
+    "redact": lambda df: pii.redact(df, pii.find_personal_data(df).dropDuplicates(["doc_id"])),
+    "sample": lambda df: mixing.sample(df, mixing_dimensions(), 0.8),
+}
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_columns_of_any_name_come_back(docs, name):
+    given = docs([*ODD, (5, "mail me: a@b.org"), (11, "1 2 3")], clashes=True)
+    got = WHOLE[name](given)
+    assert got.schema.names == given.schema.names
+    rows = got.collect()
+    assert rows and all(r[c] == "x" for r in rows for c in ("a.b", "_sha", "_gone", "_id", "_mix_kept", "spans", "_cell_lang"))
+
+
+def test_collocations_of_odd_rows(docs):
+    assert collocations.collocations(docs([], clashes=True)).collect() == []
+    phrases = {r["phrase"] for r in collocations.collocations(docs(ODD, clashes=True)).collect()}
+    assert "of a long" in phrases
+
+
+def test_many_spans_in_one_text(docs):
+    """Two hundred thousand addresses, and as many numbers between them that look like others."""
+    text = "".join(f"10.{i % 250}.{i // 250 % 250}.7 555-010-{i % 10_000:04d} " for i in range(200_000))
+    import time
+
+    begun = time.monotonic()
+    row = pii.find_personal_data(docs([(1, text)])).first()
+    assert row["n_ip"] == 200_000 and time.monotonic() - begun < 60
+
+
 def test_batches_are_bounded_unless_smaller_ones_are_set(spark):
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(key)
