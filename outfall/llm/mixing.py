@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from outfall.llm.words import BROADCAST_ROWS, n_words, small, whole_text
+from outfall.llm.words import BROADCAST_ROWS, carried, n_words, restored, small, whole_text
 from outfall.session import settle
 
 #: Sweeps over all dimensions between two writes of the cells, and the most of these rounds.
@@ -89,17 +89,39 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], max_rows: int = BROADC
 def sampling_rates(cells: DataFrame, budget: float | None = None) -> DataFrame:
     """``cells`` with ``probability``.
 
-    ``budget`` is the number of tokens wanted. Without one it is the most that the weights allow,
-    with a probability of 1 in the scarcest cell. A larger budget would need more tokens of a cell
-    than there are: such cells are kept whole and the mix is missed by what they lack.
+    ``budget`` is the number of tokens wanted. Cells that have too few tokens for their weight are kept whole, and what they
+    lack is handed on to the others by their weights. Without a budget it is the most that the weights
+    allow, with a probability of 1 in the scarcest cell.
     """
     per_token = F.when(F.col("_weight") > 0, F.col("_weight") / F.col("_tokens")).otherwise(0.0)
-    rated = cells.withColumn("_rate", per_token)
+    rated = settle(cells.withColumn("_rate", per_token))
     if budget is None:
-        most = rated.agg(F.max("_rate")).scalar()
-        scaled = F.when(most > 0, F.col("_rate") / most).otherwise(0.0)
-        return rated.withColumn("probability", scaled).drop("_rate")
-    return rated.withColumn("probability", F.least(F.col("_rate") * F.lit(float(budget)), F.lit(1.0))).drop("_rate")
+        most = rated.agg(F.max("_rate")).first()[0]
+        scale = 1 / most if most else 0.0
+    else:
+        scale = _scale(rated, float(budget))
+    probability = F.when(F.col("_rate") > 0, F.least(F.col("_rate") * F.lit(scale), F.lit(1.0))).otherwise(0.0)
+    return rated.withColumn("probability", probability).drop("_rate")
+
+
+def _scale(rated: DataFrame, budget: float) -> float:
+    """By what rates are multiplied so that, none being over 1, they give ``budget`` tokens, or all that there are.
+
+    With every step more cells are whole, so the steps come to an end; each sums the table of cells once.
+    """
+    scale = 0.0
+    while True:
+        whole = (F.col("_rate") * F.lit(scale) >= 1) if scale else F.lit(False)
+        sums = rated.filter("_rate > 0").agg(
+            F.sum(F.when(whole, F.col("_tokens"))).alias("held"), F.sum(F.when(~whole, F.col("_weight"))).alias("open")
+        )
+        held, left = sums.first()
+        if not left:
+            return scale or 1.0
+        next_scale = max(0.0, budget - (held or 0)) / left
+        if next_scale <= scale * (1 + 1e-12):
+            return scale
+        scale = next_scale
 
 
 def lot(seed: int) -> Column:
@@ -116,11 +138,11 @@ def rated(
     share: float | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """``docs`` with ``_mix__tokens`` and ``_mix__weight`` of the cell, ``_mix_probability`` and ``_mix_kept``.
+    """The rows of ``docs`` (``carried``), with ``_mix__tokens`` and ``_mix__weight`` of the cell, ``_mix_probability`` and ``_mix_kept``.
 
     ``dims`` names the dimensions and their expressions over ``docs``; null is a value of its own.
     ``targets`` are tables of shares, or the power to which token shares are raised. ``share`` is the part
-    of all tokens that is wanted (see ``sampling_rates``); cells that are too scarce are kept whole. Rows that
+    of all tokens that is wanted (see ``sampling_rates``). Rows that
     repeat id and text share their lot. An empty table gives an empty one.
     """
     held = {f"_cell_{d}": c for d, c in dims.items()}
@@ -134,7 +156,7 @@ def rated(
     rates = settle(sampling_rates(rake(cells, wanted, max_rows), budget))
     rates = rates.select(*held, *[F.col(c).alias(f"_mix_{c}") for c in ("_tokens", "_weight", "probability")])
     return (
-        docs.withColumns({d: named(c) for d, c in held.items()})
+        carried(docs, *[named(c).alias(d) for d, c in held.items()])
         .join(small(rates, max_rows), list(held), "left")
         .withColumn("_mix_kept", lot(seed) < F.col("_mix_probability"))
         .drop(*held)
@@ -148,19 +170,28 @@ def mix(docs: DataFrame, *args, **options) -> DataFrame:
     """
     names = ["_tokens", "_weight", "probability", "kept"]
     mine = [F.col(f"_mix_{c}").alias(c) for c in names]
-    return rated(docs, *args, **options).select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *mine)
+    own = [F.col("_whole").getField(c).alias(c) for c in docs.columns if c not in names]
+    return rated(docs, *args, **options).select(*own, *mine)
 
 
 def sample(docs: DataFrame, *args, **options) -> DataFrame:
     """The rows of ``docs`` that are drawn, with all their columns. Takes what ``rated`` takes."""
-    return rated(docs, *args, **options).filter("_mix_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restored(rated(docs, *args, **options).filter("_mix_kept"))
 
 
 def content_topic(text: Column) -> Column:
-    """A coarse topic that needs no model: text under a license, tables, or prose."""
+    """A coarse topic that needs no model, by what a text is made of: records, figures, markup, lists or prose.
+
+    Shares are of the characters that are no white space; a text without any is ``empty``.
+    """
     text = whole_text(text)
+    size = F.length(F.regexp_replace(text, r"\s+", "")).cast("double")
+    lines = F.regexp_count(text, F.lit(r"\n")) + 1
     return (
-        F.when(text.contains("Licensed under"), "licensed")
-        .when(text.contains(" | "), "table")
+        F.when(size == 0, "empty")
+        .when(F.regexp_count(text, F.lit(r"[|\t]")) >= F.lit(0.01) * size, "records")
+        .when(F.regexp_count(text, F.lit(r"[0-9]")) >= F.lit(0.08) * size, "figures")
+        .when(F.regexp_count(text, F.lit(r"[<>{}\[\]=;#*_$%&@]")) >= F.lit(0.03) * size, "markup")
+        .when(size < 40 * lines, "lists")
         .otherwise("prose")
     )

@@ -17,7 +17,8 @@ CHECKS: dict[str, str] = {}
 
 SHARDS, SHARD_SEED = 16, 20_240_601
 END_ID = 1
-MIX_POWER, MIX_SEED = 0.8, 7
+#: The power to which shares are raised, the seed of the lots, and the part of all tokens that the mix should have.
+MIX_POWER, MIX_SEED, MIX_SHARE = 0.8, 7, 0.8
 
 
 def tokenizer_path() -> str:
@@ -117,7 +118,7 @@ def mixing_dimensions() -> dict:
 @query
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    mixed = mixing.mix(docs, mixing_dimensions(), MIX_POWER, MIX_SEED)
+    mixed = mixing.mix(docs, mixing_dimensions(), MIX_POWER, MIX_SEED, MIX_SHARE)
     return mixed.select(
         "doc_id", "source", "lang", mixing.content_topic(F.col("text")).alias("topic"),
         F.col("_tokens").alias("cell_tokens"), F.col("_weight").alias("cell_weight"), "probability", "kept",

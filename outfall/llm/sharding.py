@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from outfall.llm.words import whole_text
+from outfall.llm.words import BROADCAST_ROWS, settled_small, whole_text
 from outfall.session import settle
 
 ROUNDS = 6
@@ -81,30 +81,30 @@ def row_at(shard: int, slot: int, n: int, seed: int, shards: int) -> int:
     return int(Permutation(n, seed).backward([slot * shards + shard])[0])
 
 
-def with_row_numbers(df: DataFrame, order: list[str], name: str = "row_number") -> tuple[DataFrame, int]:
+def with_row_numbers(df: DataFrame, name: str = "row_number", max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
     """Number the rows from 0 without gaps; also returns the row count.
 
-    Rows lie in buckets by a hash of the columns ``order``, and in a bucket by these columns. Rows
-    that agree in all of them may swap numbers. Writes ``df`` to the shared folder.
+    Rows lie in buckets by a hash of all their columns, and in a bucket by these columns. Rows that agree in all of
+    them are one row with a count until they are numbered, and are numbered in parts, so that there may be any number.
     """
-    rows = settle(df)
-    n = rows.count()
-    buckets = max(MIN_BUCKETS, -(-n // BUCKET_ROWS))
-    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    names = df.columns
+    groups = settle(df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")))
+    n = groups.agg(F.sum("_n")).first()[0] or 0
+    buckets = max(MIN_BUCKETS, -(-groups.count() // BUCKET_ROWS))
+    dealt = groups.withColumn("_bucket", F.pmod(F.xxhash64(*names), F.lit(buckets)))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         dealt.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_size"))
+        .agg(F.sum("_n").alias("_size"))
         .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     )
-    inside = Window.partitionBy("_bucket").orderBy(*order)
-    numbered = (
-        dealt.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(starts), "_bucket")  # one row per bucket
-        .withColumn(name, (F.col("_start") + F.col("_inside") - 1).cast("long"))
-        .drop("_bucket", "_inside", "_start")
-    )
-    return numbered, n
+    inside = Window.partitionBy("_bucket").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    numbered = dealt.join(settled_small(starts, max_rows), "_bucket").withColumn("_first", first)
+    parts = numbered.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {BUCKET_ROWS}"))))
+    begin = F.col("_part") * BUCKET_ROWS
+    rows = F.explode(F.sequence(begin, F.least(begin + BUCKET_ROWS, F.col("_n")) - 1))
+    return parts.withColumn("_row", rows).select(*names, (F.col("_first") + F.col("_row")).cast("long").alias(name)), n
 
 
 def permuted(number: Column, n: int, seed: int) -> Column:
@@ -133,7 +133,7 @@ def assign_shards(docs: DataFrame, shards: int, seed: int) -> DataFrame:
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    numbered, n = with_row_numbers(narrow, ["doc_id", "text_crc32", "size"])
+    numbered, n = with_row_numbers(narrow)
     return (
         numbered.withColumn("_place", permuted(F.col("row_number"), n, seed))
         .withColumn("shard", F.pmod("_place", F.lit(shards)).cast("int"))

@@ -228,6 +228,41 @@ def test_sample_follows_the_rates(spark, docs):
     assert kept == again
 
 
+def test_what_scarce_cells_lack_is_handed_on(spark):
+    rows = [("a", 1000, 0.2), ("b", 100, 0.4), ("c", 10, 0.4), ("d", 5, 0.0)]
+    cells = spark.createDataFrame(rows, "name string, _tokens long, _weight double")
+    for budget in (1.0, 20.0, 300.0, 900.0, 1109.0, 5000.0):
+        got = {r["name"]: r["probability"] for r in mixing.sampling_rates(cells, budget).collect()}
+        assert math.isclose(sum(n * got[name] for name, n, _ in rows), min(budget, 1110), rel_tol=1e-9)
+        assert got["d"] == 0 and max(got.values()) <= 1
+        free = [name for name, n, w in rows if w and got[name] < 1]
+        assert len({round(got[name] * n / w, 6) for name, n, w in rows if name in free}) <= 1
+
+
+def test_one_odd_document_changes_little(spark, docs):
+    many = docs([(i, "w " * 10) for i in range(3000)], source="big").unionByName(docs([(5000 + i, "w " * 10) for i in range(1000)], source="small"))
+    odd = many.unionByName(docs([(9999, "Zeile")], lang="xx", source="odd"))
+    dims = {"source": F.col("source"), "lang": F.col("lang")}
+    kept = [mixing.sample(df, dims, 0.8, 7, 0.8).count() for df in (many, odd)]
+    assert abs(kept[1] - kept[0]) < 0.01 * 4000 and abs(kept[0] - 3200) < 100
+
+
+def test_topics_by_what_a_text_is_made_of(column):
+    texts = [
+        "A plain sentence, written out in full, that goes on for a while and has its marks. " * 3,
+        "name | age | place\n" * 20, "2024 11 05 77 120 9\n" * 20, "<a href='x'>{b}</a> = [c];" * 9, "milk\nbread\neggs\n" * 9, " ", None,
+    ]
+    assert column(texts, "string", mixing.content_topic) == ["prose", "records", "figures", "markup", "lists", "empty", "empty"]
+
+
+def test_rows_that_are_alike_are_numbered_apart(spark, docs, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 7)
+    rows = [(None, None)] * 60 + [(1, "a")] * 25 + [(i, f"t{i}") for i in range(2, 60)]
+    got = sharding.assign_shards(docs(rows).repartition(3), 16, 5).collect()
+    assert sorted(r["row_number"] for r in got) == list(range(len(rows)))
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+
+
 def test_rare_scripts_are_told_apart(spark, docs):
     """Cyrillic beside a Latin text with more characters than 64: garbage in it goes, clean text stays."""
     rng = random.Random(12)
