@@ -1,35 +1,47 @@
 """Substring dedup by sliding spans of sentences.
 
-From every sentence on, the shortest run of several sentences with enough words is hashed, over
+From every sentence on, the shortest run of several sentences with enough words or characters is hashed, over
 the words alone. Runs are joined globally by their hash; every occurrence but the first, in order
 of document and place, is a repeat, and the sentences under a repeat are removed. Sentences end
-at a line's end or after ``.``, ``!`` or ``?`` before white space; a sentence of many words counts as
-several, so that text without marks is cut as well. It is cut where the words say so, not at a fixed stride, so
-that a passage is cut alike wherever in a sentence it begins.
+at a line's end, after ``.``, ``!`` or ``?`` before white space, or after the full stops of other scripts; a sentence of
+many words counts as several, so that text without marks is cut as well. It is cut where the words say so, not at a
+fixed stride, so that a passage is cut alike wherever in a sentence it begins.
+
+Texts are cut once, and their runs written down, some documents to a row. These rows exchange packed fingerprints
+(``blocks``) to find the runs that occur again; only those become rows of their own and are joined by all 128 bits.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outfall.llm.words import BROADCAST_ROWS, small, whole_text
+from outfall.llm import blocks
+from outfall.llm.words import BROADCAST_ROWS, carried, restored, small, whole_text
 from outfall.operators.skew import fits_broadcast
 from outfall.session import settle
 
-#: A run has so many sentences and words at least; a longer sentence is cut after so many words at most.
+#: A run has so many sentences at least, and so many words or characters in words; a longer sentence than the last is cut.
 LEAST_SENTENCES = 2
 LEAST_WORDS = 20
+LEAST_CHARS = 80
 MOST_WORDS = 12
 #: A longer sentence is cut where the hash of the words on both sides is least among so many places before and after.
 NEAR = 3
-_SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=[\x20\x09-\x0D])|\n|\Z)", re.S)
+#: Runs in one written row.
+SHARD_RUNS = 200_000
+#: What ends a sentence before white space, and what ends it anywhere.
+_ENDS, _STOPS = ".!?", "\u3002\uFF01\uFF1F\u0964\u061F"
+_WHITE = r"\x20\x09-\x0D"
+_SENTENCE = re.compile(rf"(?:[^\n{_ENDS}{_STOPS}]++|[{_ENDS}](?![{_WHITE}]))*+(?:[{_ENDS}{_STOPS}\n]|\Z)")
 _SPACE = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
 
 
@@ -68,45 +80,134 @@ def sentences(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def run_hashes(parts: list[tuple[int, int, str]]) -> list[tuple[int, int, bytes]]:
-    """First sentence, end and 128-bit hash of the run that begins at each sentence, if there is one."""
+def run_hashes(parts: list[tuple[int, int, str]]) -> tuple[list[int], bytes]:
+    """End and 128-bit hash of the run that begins at each sentence; the last sentences have none."""
+    chars = [len(p[2]) for p in parts]
     words = [p[2].count(" ") + 1 for p in parts]
-    runs = []
-    end = total = 0
+    ends, hashes = [], []
+    end = n_words = n_chars = 0
     for i in range(len(parts)):
-        if end < i:
-            end, total = i, 0
-        while end < len(parts) and (total < LEAST_WORDS or end - i < LEAST_SENTENCES):
-            total += words[end]
+        while end < len(parts) and (end - i < LEAST_SENTENCES or (n_words < LEAST_WORDS and n_chars - n_words < LEAST_CHARS)):
+            n_words += words[end]
+            n_chars += chars[end] + 1
             end += 1
-        if total < LEAST_WORDS or end - i < LEAST_SENTENCES:
+        if end - i < LEAST_SENTENCES or (n_words < LEAST_WORDS and n_chars - n_words < LEAST_CHARS):
             break
-        key = " ".join([p[2] for p in parts[i:end]])
-        runs.append((i, end, xxhash.xxh3_128_digest(key)))
-        total -= words[i]
-    return runs
+        ends.append(end)
+        hashes.append(xxhash.xxh3_128_digest(" ".join([p[2] for p in parts[i:end]])))
+        n_words -= words[i]
+        n_chars -= chars[i] + 1
+    return ends, b"".join(hashes)
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``copy`` (a hash of the text), ``begin``, ``end`` and ``run`` of every run."""
+    """The runs of ``docs``, some documents to a row, written down.
+
+    A row has ``shard``, and of its documents ``ids``, ``copies`` (hashes of the texts) and ``counts`` of
+    runs; ``ends`` and ``hashes`` hold these for all runs, one after the other.
+    """
+    ids = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = count(TaskContext.get().partitionId() << 33)
+        kind, held, size = None, [], 0
+
+        def row() -> pa.RecordBatch:
+            found, copies, ends, hashes = zip(*held, strict=True)
+            counts = [len(e) for e in ends]
+            columns = [
+                pa.array([next(numbers)]),
+                pa.ListArray.from_arrays([0, len(held)], pa.array(found, kind)),
+                pa.array([list(copies)], pa.list_(pa.int64())),
+                pa.array([counts], pa.list_(pa.int32())),
+                pa.array([np.concatenate([np.array(e, "<u4") for e in ends]).tobytes()], pa.binary()),
+                pa.array([b"".join(hashes)], pa.binary()),
+                pa.array([sum(counts)]),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["shard", "ids", "copies", "counts", "ends", "hashes", "size"])
+
         for batch in batches:
-            at, begin, end, key = [], [], [], []
-            for i, text in enumerate(batch.column(2)):
-                for b, e, h in run_hashes(sentences(text.as_py())):
-                    at.append(i)
-                    begin.append(b)
-                    end.append(e)
-                    key.append(h)
-            held = [batch.column(c).take(pa.array(at, pa.int64())) for c in (0, 1)]
-            rest = [pa.array(begin, pa.int32()), pa.array(end, pa.int32()), pa.array(key, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*held, *rest], ["doc_id", "copy", "begin", "end", "run"])
+            kind = batch.column(0).type
+            for doc_id, copy, text in zip(*(batch.column(c) for c in range(3)), strict=True):
+                ends, hashes = run_hashes(sentences(text.as_py()))
+                if ends:
+                    held.append((doc_id.as_py(), copy.as_py(), ends, hashes))
+                    size += len(ends)
+                if size >= SHARD_RUNS:
+                    yield row()
+                    held, size = [], 0
+        if held:
+            yield row()
 
     text = whole_text(F.col("text"))
-    ids = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {ids}, copy long, begin int, end int, run binary"
-    return docs.select("doc_id", F.xxhash64(text).alias("copy"), text).mapInArrow(cut, schema)
+    schema = f"shard long, ids array<{ids}>, copies array<long>, counts array<int>, ends binary, hashes binary, size long"
+    return settle(docs.select("doc_id", F.xxhash64(text).alias("copy"), text).mapInArrow(cut, schema))
+
+
+def _sorted_keys(hashes: bytes, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of a shard's runs by fingerprint, and their buckets and fingerprints in it."""
+    keys = blocks.keys_of(np.frombuffer(hashes, "<u8")[::2], bits)
+    order = np.argsort(keys, kind="stable")
+    return order, *blocks.parts_of(keys[order])
+
+
+def fingerprint_lists(shards: DataFrame, bits: int) -> DataFrame:
+    """``bucket``, ``shard`` and the packed fingerprints of a shard's runs in the bucket, repeats included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                _, buckets, low = _sorted_keys(hashes, bits)
+                found = [(b, blocks.packed(low[part])) for b, part in blocks.runs(buckets)]
+                columns = [[b for b, _ in found], [shard] * len(found)]
+                arrays = [*(pa.array(c, pa.int64()) for c in columns), pa.array([d for _, d in found], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "shard", "listed"])
+
+    return shards.select("shard", "hashes").mapInArrow(run, "bucket long, shard long, listed binary")
+
+
+def repeated_lists(lists: DataFrame) -> DataFrame:
+    """Of every list, as ``again``, one bit for each fingerprint: whether the bucket has it twice or more."""
+
+    def run(table: pa.Table) -> pa.Table:
+        each = [blocks.unpacked(d, 1)[0] for d in table.column("listed").to_pylist()]
+        _, which, n = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+        parts = np.split((n > 1)[which], np.cumsum([len(e) for e in each])[:-1])
+        again = [blocks.packed_bits(p) if p.any() else None for p in parts]
+        columns = [table.column("bucket"), table.column("shard"), pa.array(again, pa.binary())]
+        return pa.Table.from_arrays(columns, ["bucket", "shard", "again"])
+
+    found = lists.groupBy("bucket").applyInArrow(run, "bucket long, shard long, again binary")
+    return found.filter(F.col("again").isNotNull())
+
+
+def candidate_runs(shards: DataFrame, lists: DataFrame, bits: int) -> DataFrame:
+    """``run``, ``doc_id``, ``copy``, ``begin`` and ``end`` of the runs whose fingerprint occurs again."""
+    ids = shards.schema["ids"].dataType.elementType.simpleString()
+
+    def run(shard: pa.Table, found: pa.Table) -> pa.Table:
+        told = dict(zip(found.column("bucket").to_pylist(), found.column("again").to_pylist(), strict=True))
+        results = []
+        for i in range(shard.num_rows):
+            one = {name: shard.column(name).slice(i, 1).combine_chunks() for name in shard.schema.names}
+            hashes = one["hashes"][0].as_py()
+            order, buckets, _ = _sorted_keys(hashes, bits)
+            at = np.sort(order[blocks.unpacked_bits(buckets, told)])
+            counts = one["counts"].flatten().to_numpy()
+            starts = np.cumsum(counts) - counts
+            doc = np.repeat(np.arange(len(counts)), counts)[at]
+            ends = np.frombuffer(one["ends"][0].as_py(), "<u4")[at]
+            digests = [hashes[16 * k : 16 * k + 16] for k in at.tolist()]
+            picked = pa.array(doc, pa.int64())
+            columns = [
+                pa.array(digests, pa.binary()), one["ids"].flatten().take(picked), one["copies"].flatten().take(picked),
+                pa.array((at - starts[doc]).astype(np.int32)), pa.array(ends.astype(np.int32)),
+            ]
+            results.append(pa.Table.from_arrays(columns, ["run", "doc_id", "copy", "begin", "end"]))
+        return pa.concat_tables(results)
+
+    schema = f"run binary, doc_id {ids}, copy long, begin int, end int"
+    return shards.drop("size").groupBy("shard").cogroup(lists.groupBy("shard")).applyInArrow(run, schema)
 
 
 def repeated_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -115,7 +216,9 @@ def repeated_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame
     Documents come in order of ``doc_id``, null first, then of the hash of their text. Rows that
     repeat both are one document here. Null texts count as empty.
     """
-    found = settle(runs(docs))
+    shards = runs(docs)
+    bits = blocks.bucket_bits(shards.agg(F.sum("size")).first()[0] or 0)
+    found = settle(candidate_runs(shards, repeated_lists(fingerprint_lists(shards, bits)), bits))
     place = F.struct("doc_id", "copy", "begin")
     shared = settle(
         found.groupBy("run").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).filter("_first <> _last").drop("_last")
@@ -159,7 +262,8 @@ def cleaned(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     keys = spans.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "spans", "first_doc_ids")
     text = whole_text(F.col("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy"))
-    touched = docs.select("doc_id", F.xxhash64(text).alias("copy"), text.alias("text")).join(_sized(keys, max_rows), same)
+    texts = docs.select("doc_id", F.xxhash64(text).alias("copy"), text.alias("text"))
+    touched = _touched(texts, spans, max_rows).join(_sized(keys, max_rows), same)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,6 +281,14 @@ def cleaned(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return touched.select("doc_id", "first_doc_ids", "text", "spans").mapInArrow(rewrite, schema)
 
 
+def _touched(texts: DataFrame, spans: DataFrame, max_rows: int) -> DataFrame:
+    """Without texts that have no spans, where these are few enough to be told apart before a shuffle."""
+    copies = settle(spans.select(F.col("copy").alias("_copy")).distinct())
+    if copies.count() > max_rows:
+        return texts
+    return texts.join(F.broadcast(copies), F.col("copy") == F.col("_copy"), "left_semi")
+
+
 def _sized(spans: DataFrame, max_rows: int) -> DataFrame:
     """Rows of spans have no fixed width, so their bytes are measured before a broadcast."""
     return F.broadcast(spans) if max_rows and fits_broadcast(spans, 16 * 1024 * 1024) else spans
@@ -205,4 +317,5 @@ def dedup_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
     found = F.coalesce("_spans", F.array().cast("array<struct<begin:int,end:int>>"))
     new = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(without(text, found))
-    return docs.join(_sized(settle(spans), max_rows), same, "left").withColumn("text", new).select(*docs.columns)
+    rows = carried(docs).join(_sized(settle(spans), max_rows), same, "left")
+    return restored(rows.select(F.col("_whole").withField("text", new).alias("_whole")))
