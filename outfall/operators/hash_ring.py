@@ -42,7 +42,7 @@ def ring(workers: DataFrame, n: int, points: int = POINTS, bucket_points: int =
     ``workers`` has ``worker``, repeats do not count. A bucket has ``bucket``, ``points`` (``place``,
     ``worker``, in order) and ``after``: the first ``n`` different workers behind its end, around the ring.
     """
-    named = settle(workers.select("worker").dropDuplicates())
+    named = workers.select("worker").dropDuplicates()
     count = named.count()
     bits = max(0, (count * points // bucket_points)).bit_length()
     placed = named.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).select(
@@ -56,7 +56,7 @@ def ring(workers: DataFrame, n: int, points: int = POINTS, bucket_points: int =
     buckets = settle(every.join(gathered, "bucket", "left").withColumn("points", F.coalesce("points", nothing)))
 
     # The first workers of each bucket; a bucket that has too few takes those of 1, 2, 4 ... buckets on.
-    heads = settle(buckets.select("bucket", _first_distinct(F.col("points.worker"), n).alias("head")))
+    heads = buckets.select("bucket", _first_distinct(F.col("points.worker"), n).alias("head"))
     reach = 1
     while reach < 1 << bits and not heads.filter(F.size("head") < min(n, count)).isEmpty():
         on = heads.select(F.pmod(F.col("bucket") - reach, F.lit(1 << bits)).alias("bucket"), F.col("head").alias("_more"))

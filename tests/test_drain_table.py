@@ -177,3 +177,22 @@ def test_selectors(spark):
 
 def test_blocked_address_bytes(column):
     assert column(["127.0.2.2"], "string", lambda c: F.hex(ip_bytes(c))) == ["00000000000000000000FFFF7F000202"]
+
+
+@pytest.mark.parametrize("broadcast", [0, 10**9])
+def test_wide_ranges_and_many_hosts(spark, broadcast, monkeypatch):
+    """A /7, a range that begins inside another one, and single addresses, against a comparison with every range."""
+    from outfall.operators import skew, validation
+
+    monkeypatch.setattr(validation, "skew_join", lambda a, b, on, by, how: skew.skew_join(a, b, on, by, how, broadcast, task_rows=5000))
+    text = "10.0.0.0-11.255.255.255,11.5.0.9-12.0.0.77,200.1.2.3-200.1.2.3,2001:db8::1-2001:db8::ff,0.0.0.0-0.0.0.6"
+    found = ranges(spark, text)
+    part = F.pmod(F.xxhash64("id"), F.lit(256))
+    hosts = spark.range(60_000).select(
+        F.concat_ws(".", (F.col("id") % 14).cast("string"), *[F.pmod(F.shiftright(F.xxhash64("id"), 8 * k), F.lit(256)).cast("string") for k in (1, 2)], part.cast("string")).alias("host")
+    ).dropDuplicates().unionByName(spark.createDataFrame([("200.1.2.3",), ("200.1.2.4",), ("2001:db8::fe",), ("2001:db8::100",), ("0.0.0.6",), ("0.0.0.7",)], "host string"))
+    resolved = hosts.select("host", F.col("host").alias("ip"), ip_bytes(F.col("host")).alias("ip16"))
+    got = {r["host"] for r in validation.blocked_hosts(resolved, found).collect()}
+    held = [(bytes(r["start16"]), bytes(r["end16"])) for r in found.collect()]
+    expected = {r["host"] for r in resolved.collect() if any(a <= bytes(r["ip16"]) <= b for a, b in held)}
+    assert got == expected and len(got) > 8000 and {"200.1.2.3", "2001:db8::fe", "0.0.0.6"} <= got
