@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outfall.llm import blocks
@@ -211,7 +211,7 @@ def candidate_runs(shards: DataFrame, lists: DataFrame, bits: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Per document with a repeat: ``spans`` (first sentence and end of each) and ``first_doc_ids``.
+    """Per document with a repeat: ``spans`` (first sentence and end, runs that overlap being one) and ``first_doc_ids``.
 
     Documents come in order of ``doc_id``, null first, then of the hash of their text. Rows that
     repeat both are one document here. Null texts count as empty.
@@ -225,11 +225,26 @@ def repeated_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame
     )
     again = found.join(small(shared, max_rows), "run").filter(~place.eqNullSafe(F.col("_first")))
     return again.groupBy("doc_id", "copy").agg(
-        F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"),
+        _merged(F.sort_array(F.collect_set(F.struct("begin", "end")))).alias("spans"),
         F.sort_array(F.collect_set("_first.doc_id")).alias("first_doc_ids"),
     )
 
 
+def _merged(spans: Column) -> Column:
+    """Ascending spans with those that overlap or touch made one."""
+    nothing = F.array().cast("array<struct<begin:int,end:int>>")
+
+    def add(done: Column, span: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(last["begin"].alias("begin"), F.greatest(last["end"], span["end"]).alias("end"))
+        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
+        return F.when((F.size(done) > 0) & (last["end"] >= span["begin"]), joined).otherwise(
+            F.concat(done, F.array(span))
+        )
+
+    return F.aggregate(spans, nothing, add)
+
+
 def cut_out(text: str, spans: list[tuple[int, int]]) -> tuple[str, int, list[tuple[int, int]]]:
     """The text without the sentences under the spans, the number of sentences, and what was cut."""
     parts = sentences(text)
