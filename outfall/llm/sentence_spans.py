@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outfall.llm import blocks
-from outfall.llm.words import BROADCAST_ROWS, carried, restored, small, whole_text
+from outfall.llm.words import BROADCAST_ROWS, carried, restored, whole_text
 from outfall.operators.skew import fits_broadcast
 from outfall.session import settle
 
@@ -210,7 +210,7 @@ def candidate_runs(shards: DataFrame, lists: DataFrame, bits: int) -> DataFrame:
     return shards.drop("size").groupBy("shard").cogroup(lists.groupBy("shard")).applyInArrow(run, schema)
 
 
-def repeated_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def repeated_spans(docs: DataFrame) -> DataFrame:
     """Per document with a repeat: ``spans`` (first sentence and end, runs that overlap being one) and ``first_doc_ids``.
 
     Documents come in order of ``doc_id``, null first, then of the hash of their text. Rows that
@@ -223,7 +223,8 @@ def repeated_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame
     shared = settle(
         found.groupBy("run").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).filter("_first <> _last").drop("_last")
     )
-    again = found.join(small(shared, max_rows), "run").filter(~place.eqNullSafe(F.col("_first")))
+    # The same join at every size; Spark splits the partitions of runs that are frequent.
+    again = found.join(shared, "run").filter(~place.eqNullSafe(F.col("_first")))
     return again.groupBy("doc_id", "copy").agg(
         _merged(F.sort_array(F.collect_set(F.struct("begin", "end")))).alias("spans"),
         F.sort_array(F.collect_set("_first.doc_id")).alias("first_doc_ids"),
@@ -273,7 +274,7 @@ def cleaned(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     ``n_sentences``, ``n_removed``, ``removed`` (character ranges, end exclusive) and ``text``, which is
     what is left. Documents that are not returned stay as they are.
     """
-    spans = settle(repeated_spans(docs, max_rows))
+    spans = settle(repeated_spans(docs))
     keys = spans.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "spans", "first_doc_ids")
     text = whole_text(F.col("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy"))
@@ -321,7 +322,7 @@ def _covered(spans: list[dict]) -> int:
 def dedup_spans(docs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` with all their columns, repeated sentences removed from ``text``."""
     text = whole_text(F.col("text"))
-    spans = repeated_spans(docs, max_rows).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), F.col("spans").alias("_spans"))
+    spans = repeated_spans(docs).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), F.col("spans").alias("_spans"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_copy"))
 
     @F.pandas_udf("string")

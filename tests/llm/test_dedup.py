@@ -139,7 +139,7 @@ def test_sentences_end_where_they_did():
 def test_runs_of_many_shards(spark, docs, monkeypatch):
     rows = [(i, f"Words number {i % 7} of this text are many enough to count. And so are these, all {i % 7} of them, by far.") for i in range(50)]
     one = sentence_spans.repeated_spans(docs(rows)).collect()
-    many = sentence_spans.repeated_spans(docs(rows).repartition(9), max_rows=0).collect()
+    many = sentence_spans.repeated_spans(docs(rows).repartition(9)).collect()
     assert sorted(map(repr, one)) == sorted(map(repr, many)) and len(one) == 43
 
 
