@@ -72,13 +72,14 @@ def with_next_workers(
     bindings: DataFrame,
     workers: DataFrame,
     key: Column,
-    n: int,
+    n: int | None,
     name: str = "candidates",
     points: int = POINTS,
     bucket_points: int = BUCKET_POINTS,
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Add ``name``: the ``n`` different workers that come next after ``key``, or all if there are fewer."""
+    """Add ``name``: the ``n`` different workers that come next after ``key``, or all if there are fewer or ``n`` is null."""
+    n = max(1, workers.select("worker").dropDuplicates().count()) if n is None else n
     buckets, bits = ring(workers, n, points, bucket_points)
     placed = bindings.withColumn("_place", position(key)).withColumn("_bucket", _bucket(F.col("_place"), bits))
     # Bindings are hashed as well, so no bucket is a hot key.

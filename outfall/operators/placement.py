@@ -32,8 +32,8 @@ def healthy_workers(workers: DataFrame) -> DataFrame:
     return workers.filter(F.col("healthy")).select("worker").dropDuplicates()
 
 
-def with_candidates(bindings: DataFrame, workers: DataFrame, n: int = COPIES) -> DataFrame:
-    """Add ``candidates``: the ``n`` workers that come next on the ring, the preferred one first."""
+def with_candidates(bindings: DataFrame, workers: DataFrame, n: int | None = COPIES) -> DataFrame:
+    """Add ``candidates``: the ``n`` workers that come next on the ring, or all of them, the preferred one first."""
     return with_next_workers(bindings, workers, binding_text(), n)
 
 

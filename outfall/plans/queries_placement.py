@@ -27,11 +27,11 @@ def _bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {sql.BIND}, {sql.WORKERS}, {sql.ranked('candidates', 'bind', 'workers')}
 SELECT app_id, hostname, drain, string_agg(worker, ',' ORDER BY place) AS candidates
-FROM candidates WHERE place <= 3 GROUP BY app_id, hostname, drain"""
+FROM candidates GROUP BY app_id, hostname, drain"""
 )
 def join6_worker_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three workers that come next on the ring."""
-    ranked = placement.with_candidates(_bindings(spark, sf_dir), views.workers(spark, sf_dir), 3)
+    """Every worker, in the order in which they come next on the ring."""
+    ranked = placement.with_candidates(_bindings(spark, sf_dir), views.workers(spark, sf_dir), None)
     return ranked.select(*BINDING_KEY, F.array_join("candidates", ",").alias("candidates"))
 
 

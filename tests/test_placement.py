@@ -168,6 +168,22 @@ def test_ring_against_brute_force(spark, count, points, bucket_points, n, broadc
     assert {r["app_id"]: r["c"] for r in found.collect()} == on_ring(names, [f"w{i}" for i in range(count)], n, points)
 
 
+@pytest.mark.parametrize("count", [1, 9])
+def test_candidates_are_all_workers(spark, count):
+    names = [f"app-{i}" for i in range(30)]
+    found = placement.with_candidates(bindings(spark, *names), workers(spark, count), None)
+    assert {r["app_id"]: r["candidates"] for r in found.collect()} == on_ring(names, [f"w{i}" for i in range(count)], count, 16)
+
+
+def test_candidates_query_names_every_worker(spark, tmp_path):
+    from outfall.plans.catalog import QUERIES
+
+    spark.range(1, 9).selectExpr("id c_custkey", "'BUILDING' c_mktsegment", "1 c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1, 20).selectExpr("id s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    rows = QUERIES["join6_worker_candidates"](spark, str(tmp_path)).collect()
+    assert len(rows) == 8 and all(sorted(r["candidates"].split(",")) == [f"w{i}" for i in range(7)] for r in rows)
+
+
 def test_ring_without_workers(spark):
     assert placement.place(bindings(spark, "a"), workers(spark, 0)).count() == 0
     assert placement.place_evenly(bindings(spark, "a"), workers(spark, 0)).count() == 0
