@@ -38,10 +38,10 @@ from outfall.session import settle, shared_dir
 #: Documents whose crc32 has this remainder are held out.
 FOLDS, HELD_OUT = 7, 2
 #: Words that are classes of their own, and the classes that the others share.
-TOP_WORDS, SHARED_CLASSES = 32, 32
+TOP_WORDS, SHARED_CLASSES = 64, 64
 CLASSES = TOP_WORDS + SHARED_CLASSES
 #: Rows of the table of weights for each kind of feature, as a power of two.
-FEATURE_BITS = 11
+FEATURE_BITS = 12
 KINDS = 4
 #: Parts of the chunks that are trained on one after the other.
 ROUNDS = 6

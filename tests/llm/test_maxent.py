@@ -97,3 +97,14 @@ def test_nothing_to_learn_from(docs):
     row = maxent.language_model_scores(docs([(out, "some words")])).collect()[0]
     assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (True, 3, 0, 0, 0.0)
     assert row["score"] < 0
+
+
+def test_most_of_the_information_is_in_the_classes():
+    # 64 frequent words and 64 shared classes: what the model predicts, not what is left to shares in a class.
+    rng = np.random.default_rng(3)
+    counts = np.sort(1_000_000 / np.arange(1, 3_001))[::-1]
+    cls = np.where(np.arange(3_000) < maxent.TOP_WORDS, np.arange(3_000), maxent.TOP_WORDS + rng.integers(0, maxent.SHARED_CLASSES, 3_000))
+    of_class = np.bincount(cls, weights=counts)
+    p = counts / counts.sum()
+    left = -(p * np.log(counts / of_class[cls])).sum()
+    assert left < 0.35 * -(p * np.log(p)).sum()
