@@ -12,13 +12,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Envelopes in a task of a fan-out, which makes some messages of each.
+TASK_ENVELOPES = 50_000
+
+
 def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Split an input of so few files that a fan-out would leave most cores idle.
+    """Split an input of so few files that a fan-out would leave most cores idle, or give one task too many messages.
 
-    Large tables have more splits than cores and are left as they are.
+    Tables that have more splits are left as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ENVELOPES))
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks, key)
 
 
 def bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
