@@ -12,7 +12,7 @@ from outfall.plans import oracle_views as sql
 from outfall.plans import views
 from outfall.plans.queries_messages import _BUFFER, _BUFFERED, _messages
 from outfall.plans.registry import query
-from outfall.schema import BINDING_KEY
+from outfall.schema import BINDING_KEY, ENVELOPE
 from outfall.session import settle, shared_dir
 from outfall.sources import versions
 from outfall.sources.envelopes import stream_envelopes
@@ -22,22 +22,36 @@ from outfall.streaming.sinks import TableWriter, Target, with_retry
 _ALL_MESSAGES = f"WITH {sql.ROUTED} SELECT env_id, app_id, hostname, drain, part, frame FROM messages"
 
 
+#: Envelopes in a file that a stream reads, if there are more than four of them.
+_FILE_ENVELOPES = 100_000
+
+
+def _files(spark: SparkSession, sf_dir: str) -> int:
+    """How many files a stream reads in all: a multiple of four, so that its tasks do not grow with the input."""
+    return 4 * max(1, -(-views.table(spark, sf_dir, "events").count() // (4 * _FILE_ENVELOPES)))
+
+
 def _landed(spark: SparkSession, sf_dir: str, remainder: int | None = None, path: str | None = None) -> str:
     """Envelopes as files that a stream can read: all, or every other one, added to ``path``."""
     path = path or shared_dir(spark)
     every = views.envelopes(spark, sf_dir)
     part = every if remainder is None else every.filter(F.col("env_id") % 2 == remainder)
-    part.repartition(4, "env_id").write.mode("append").parquet(path)
+    part.repartition(_files(spark, sf_dir), "env_id").write.mode("append").parquet(path)
     return path
 
 
+def _landed_heat(spark: SparkSession, path: str, batches: int = 1) -> DataFrame:
+    """Envelopes that apps have landed, for each of so many micro-batches."""
+    return fanout.earlier_heat(spark.read.schema(ENVELOPE).parquet(path), batches)
+
+
 def _read(messages: DataFrame) -> DataFrame:
     return messages.select("env_id", *BINDING_KEY, F.col("part").cast("long").alias("part"), "frame")
 
 
 @query(f"WITH {sql.ENV} SELECT env_id, source_id, kind, timestamp_ns FROM env")
 def src1_envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = stream_envelopes(spark, _landed(spark, sf_dir), maxFilesPerTrigger="2")
+    stream = stream_envelopes(spark, _landed(spark, sf_dir), maxFilesPerTrigger=str(_files(spark, sf_dir) // 2))
     out = shared_dir(spark)
     running = (
         stream.select("env_id", "source_id", "kind", "timestamp_ns")
@@ -53,10 +67,11 @@ def src1_envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_ALL_MESSAGES)
 def str1_stateless_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = stream_envelopes(spark, _landed(spark, sf_dir), maxFilesPerTrigger="2")
+    landed, half = _landed(spark, sf_dir), _files(spark, sf_dir) // 2
+    stream = stream_envelopes(spark, landed, maxFilesPerTrigger=str(half))
     out = shared_dir(spark)
     bindings = views.bindings(spark, sf_dir).select(*BINDING_KEY)
-    fanout.finish(fanout.start_stateless(stream, bindings, out, shared_dir(spark)))
+    fanout.finish(fanout.start_stateless(stream, bindings, out, shared_dir(spark), heat=_landed_heat(spark, landed, 2)))
     return _read(spark.read.parquet(out))
 
 
@@ -174,7 +189,8 @@ def str4_restarted_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = None
     for remainder in (0, 1):
         path = _landed(spark, sf_dir, remainder, path)
-        fanout.finish(fanout.start_stateless(stream_envelopes(spark, path), bindings, out, checkpoint))
+        heat = _landed_heat(spark, path)
+        fanout.finish(fanout.start_stateless(stream_envelopes(spark, path), bindings, out, checkpoint, heat=heat))
     return _read(spark.read.parquet(out))
 
 
