@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from outfall.operators.bindings import distinct_bindings
 from outfall.operators.hash_ring import with_next_workers
 from outfall.operators.skew import BROADCAST_BYTES, group_edges, mark_first, ordered_start, running_start, skew_join
 from outfall.schema import BINDING_KEY
@@ -84,12 +83,10 @@ def rebalance(
     left out of the result: nothing can be removed from a worker that does not answer.
     """
     healthy = settle(healthy_workers(workers))
-    wanted = distinct_bindings(desired)
-    reported = skew_join(
-        held.select("worker", *BINDING_KEY).dropDuplicates(), healthy, ["worker"], BINDING_KEY, "left_semi", max_broadcast_bytes
-    )
+    wanted = desired.select(*BINDING_KEY)
+    reported = skew_join(held.select("worker", *BINDING_KEY), healthy, ["worker"], BINDING_KEY, "left_semi", max_broadcast_bytes)
 
-    # One row per binding: which workers hold it, and whether it is wanted.
+    # One row per binding: which workers hold it, and whether it is wanted. Repeats go here.
     state = (
         reported.withColumn("_wanted", F.lit(False))
         .unionByName(wanted.withColumn("worker", F.lit(None).cast("string")).withColumn("_wanted", F.lit(True)))
@@ -100,7 +97,9 @@ def rebalance(
     ranked = F.transform(
         "_held", lambda w: F.struct(F.md5(F.concat(binding_text(), F.lit("|"), w).cast("binary")).alias("score"), w.alias("worker"))
     )
-    first = F.transform(F.slice(F.sort_array(ranked, asc=False), 1, copies), lambda s: s["worker"])
+    first = F.when(F.size("_held") <= copies, F.col("_held")).otherwise(
+        F.transform(F.slice(F.sort_array(ranked, asc=False), 1, copies), lambda s: s["worker"])
+    )
     stays = F.when(F.col("_wanted"), first).otherwise(F.array().cast("array<string>"))
     state = settle(state.withColumn("_kept", stays))
 
@@ -113,12 +112,12 @@ def rebalance(
     missing = state.filter(F.col("_wanted") & (F.size("_kept") < copies)).withColumn(
         "_missing", F.lit(copies) - F.size("_kept")
     )
-    numbered = running_start(missing, binding_text(), F.col("_missing"), "_slot")
+    numbered = settle(running_start(missing, binding_text(), F.col("_missing"), "_slot"))
     turns = numbered.withColumn("_turn", F.explode(F.sequence(F.lit(0), F.col("_missing") - 1)))
     filled = fill(turns.select(*BINDING_KEY, "_turn", (F.col("_slot") + F.col("_turn")).alias("slot")), loads, max_broadcast_bytes)
     offers = filled.groupBy(*BINDING_KEY).agg(F.sort_array(F.collect_list(F.struct("_turn", "worker"))).alias("_turns"))
     # Copies that are kept, and turns that are taken twice, leave as many of these as can be missing.
-    ringed = with_next_workers(missing, healthy, binding_text(), 2 * copies, "_next", max_broadcast_bytes=max_broadcast_bytes)
+    ringed = with_next_workers(numbered, healthy, binding_text(), 2 * copies, "_next", max_broadcast_bytes=max_broadcast_bytes)
     chosen = F.slice(
         F.filter(
             F.array_distinct(F.concat("_turns.worker", "_next")),

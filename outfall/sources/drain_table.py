@@ -118,7 +118,8 @@ def page_bindings(pages: DataFrame) -> DataFrame:
 
 def fetch_bindings(landed: DataFrame) -> DataFrame:
     """The bindings of a whole snapshot, or ``IncompleteSnapshot``: never a part of one."""
-    pages = parse_pages(landed)
+    # The bodies are parsed once, for the checks and for the bindings.
+    pages = settle(parse_pages(landed))
     check_pages(pages)
     return page_bindings(pages)
 

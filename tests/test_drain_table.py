@@ -104,6 +104,17 @@ def validated(spark, drains, text="", dns=()):
     return validate_bindings(bindings, spark.createDataFrame(list(dns), DNS), ranges(spark, text))
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_pages_and_urls_are_parsed_once(spark):
+    fetched = source.fetch_bindings(pages(spark, (0, 200, PAGE)))
+    assert fetched.count() == 2 and "from_json" not in plan_of(fetched)
+    checked = validated(spark, ["syslog://10.10.10.10"])
+    assert checked.count() == 1 and "regexp_extract" not in plan_of(checked)
+
+
 def test_validation_order_and_logs(spark):
     drains = [
         "syslog://10.10.10.10", "syslog-tls://10.10.10.10", "https://10.10.10.10", "bad-scheme://10.10.10.10",

@@ -42,6 +42,20 @@ def test_removal_and_empty_snapshot(spark):
     assert Counter(a for _, _, a in moves(emptied)) == {"remove": 4}
 
 
+def test_repeats_do_not_count(spark, monkeypatch):
+    current = [("w0", "a"), ("w1", "a"), ("w2", "b"), ("w0", "b"), ("w1", "b"), ("w1", "c")]
+    wanted = ["a", "b", "c", "d"]
+    once = moves(placement.rebalance(held(spark, *current), bindings(spark, *wanted), workers(spark, 3)))
+    numbered = []
+    start = placement.running_start
+    monkeypatch.setattr(placement, "running_start", lambda *a: numbered.append(start(*a)) or numbered[-1])
+    twice = placement.rebalance(held(spark, *2 * current), bindings(spark, *2 * wanted), workers(spark, 3))
+    assert moves(twice) == once and Counter(a for _, _, a in once) == {"kept": 5, "remove": 1, "add": 3}
+    # Missing copies are numbered once, in a job of their own.
+    plan = twice._jdf.queryExecution().optimizedPlan().toString()
+    assert len(numbered) == 1 and "_weight" not in plan and "Window" not in plan
+
+
 def test_failing_worker_is_left_out(spark):
     pool = workers(spark, 3, failing=[1])
     result = moves(placement.rebalance(held(spark), bindings(spark, "a", "b"), pool))
