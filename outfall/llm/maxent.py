@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +47,8 @@ KINDS = 4
 ROUNDS = 6
 RATE = 1.0
 MINIBATCH = 2048
+#: Tokens whose scores are worked out together; they stay in the cache of a core.
+SLICE = 256
 #: Rows of a group up to which groups are summed side by side.
 SMALL_GROUP = 12
 #: Bytes of text in a chunk; a longer text is a chunk of its own, or the last text of one.
@@ -135,15 +137,22 @@ def _unpack(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+class _Ends(dict):
+    """The shared class of the last letters of a word, hashed when they are first met."""
+
+    def __missing__(self, end: bytes) -> int:
+        self[end] = TOP_WORDS + xxhash.xxh64_intdigest(end, _SEED) % SHARED_CLASSES
+        return self[end]
+
+
 class Words:
     """The distinct words of a chunk: hashes, the classes that they share with others, and their order by hash."""
 
     def __init__(self, data: bytes):
         words = _unpack(data).split(b"\n")
-        digest = xxhash.xxh64_intdigest
-        self.hashes = np.fromiter((digest(w, _SEED) for w in words), np.uint64, len(words))
-        ends = (digest(w.decode(errors="replace")[-2:], _SEED) % SHARED_CLASSES for w in words)
-        self.shared = TOP_WORDS + np.fromiter(ends, np.int64, len(words))
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(_SEED)), np.uint64, len(words))
+        ends = _Ends()
+        self.shared = np.array([ends[w[-2:] if w.isascii() else w.decode(errors="replace")[-2:].encode()] for w in words], np.int64)
         self.order = np.argsort(self.hashes)
 
     def classes(self, top: np.ndarray) -> np.ndarray:
@@ -285,16 +294,41 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))) * _MULTIPLIER
 
 
-def class_scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Log probabilities of all classes, up to a constant for each token that is subtracted in place."""
-    found = weights[rows[:, 0]]
+def class_scores(weights: np.ndarray, rows: np.ndarray, out: np.ndarray | None = None, more: np.ndarray | None = None) -> np.ndarray:
+    """Log probabilities of all classes, up to a constant for each token that is subtracted in place.
+
+    ``out`` and ``more`` are room for as many rows, if there is some already.
+    """
+    found = np.empty((len(rows), weights.shape[1]), weights.dtype) if out is None else out
+    other = np.empty_like(found) if more is None else more
+    # Rows exist, so there is nothing to clip, but numpy then copies them without a buffer.
+    np.take(weights, rows[:, 0], axis=0, out=found, mode="clip")
     for k in range(1, rows.shape[1]):
-        found += weights[rows[:, k]]
+        np.take(weights, rows[:, k], axis=0, out=other, mode="clip")
+        found += other
     found += weights[0]
-    found -= found.max(axis=1, keepdims=True)
+    # Halves are compared side by side: faster than numpy's maximum of a row.
+    most = found
+    while most.shape[1] > 1 and most.shape[1] % 2 == 0:
+        half = most.shape[1] // 2
+        most = np.maximum(most[:, :half], most[:, half:])
+    found -= most.max(axis=1, keepdims=True)
     return found
 
 
+def own_scores(weights: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """The log probability of every token's class."""
+    logs = np.empty(len(labels), np.float64)
+    room = np.empty((2, SLICE, CLASSES), weights.dtype)
+    for at in range(0, len(labels), SLICE):
+        part = slice(at, at + SLICE)
+        n = len(labels[part])
+        found = class_scores(weights, rows[part], room[0, :n], room[1, :n])
+        own = found[np.arange(n), labels[part]].astype(np.float64)
+        logs[part] = own - np.log(np.exp(found, out=found).sum(axis=1, dtype=np.float64))
+    return logs
+
+
 class Chunk:
     """One row of chunks with what is known of its words."""
 
@@ -322,41 +356,55 @@ def train(model: Model, chunk: Chunk, met: np.ndarray, rate: float) -> None:
     """Gradient steps over the training tokens of a chunk, in a fixed random order."""
     trained = np.flatnonzero(np.repeat(~chunk.held, chunk.lengths))
     np.random.default_rng(len(trained)).shuffle(trained)
-    weights, squares = model.weights, model.squares
+    weights = model.weights
     labels = chunk.cls[chunk.tokens[trained]]
+    room = np.empty((MINIBATCH, CLASSES), weights.dtype)
+    more = np.empty((SLICE, CLASSES), weights.dtype)
     for at in range(0, len(trained), MINIBATCH):
         rows, y = chunk.rows[trained[at : at + MINIBATCH]], labels[at : at + MINIBATCH]
-        gradient = class_scores(weights, rows)
-        np.exp(gradient, out=gradient)
-        gradient /= gradient.sum(axis=1, keepdims=True)
+        gradient = room[: len(y)]
+        for start in range(0, len(y), SLICE):
+            part = gradient[start : start + SLICE]
+            class_scores(weights, rows[start : start + SLICE], part, more[: len(part)])
+            np.exp(part, out=part)
+            part /= part.sum(axis=1, keepdims=True)
         gradient[np.arange(len(y)), y] -= 1
-        changes = [(np.zeros(1, np.int64), gradient.sum(axis=0, keepdims=True), np.array([len(y)]))]
+        _step(model, met, np.zeros(1, np.int64), gradient.sum(axis=0, keepdims=True), np.array([len(y)]), rate)
         for k in range(KINDS):
-            order = np.argsort(rows[:, k], kind="stable")
-            ranked = rows[order, k]
-            first = np.flatnonzero(np.diff(ranked, prepend=-1))
+            # Within its kind a row is a short number, and these are sorted by their digits.
+            order = np.argsort((rows[:, k] - (1 + (k << FEATURE_BITS))).astype(np.uint16), kind="stable")
+            ranked = rows[:, k][order]
+            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
             n = np.diff(first, append=len(ranked))
-            changes.append((ranked[first], _sums(gradient, order, first, n), n))
-        for touched, sums, n in changes:
-            squares[touched] += np.einsum("ij,ij->i", sums, sums)
-            weights[touched] -= rate * sums / np.sqrt(squares[touched])[:, None]
-            met[touched] += n
+            largest = np.argsort(-n, kind="stable")
+            first, n = first[largest], n[largest]
+            _step(model, met, ranked[first], _sums(gradient, order, first, n), n, rate)
+
+
+def _step(model: Model, met: np.ndarray, touched: np.ndarray, sums: np.ndarray, n: np.ndarray, rate: float) -> None:
+    """Change the rows ``touched``, each there once, by the ``sums`` of the gradients of ``n`` tokens. ``sums`` is used up."""
+    model.squares[touched] += np.einsum("ij,ij->i", sums, sums)
+    sums *= rate
+    sums /= np.sqrt(model.squares[touched])[:, None]
+    model.weights[touched] = np.subtract(model.weights.take(touched, axis=0), sums, out=sums)
+    met[touched] += n
 
 
 def _sums(values: np.ndarray, order: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of the rows of ``values`` in groups: ``n`` of them, from place ``first`` on in ``order``.
+    """Sums of the rows of ``values`` in groups, the largest first: ``n`` of them, from place ``first`` on in ``order``.
 
     The few large groups are summed one by one, the many small ones side by side; numpy's own way of summing
     groups of rows takes several times as long.
     """
-    sums = values[order[first]]
-    for g in np.flatnonzero(n > SMALL_GROUP):
-        sums[g] = values[order[first[g] : first[g] + n[g]]].sum(axis=0)
+    sums = values.take(order[first], axis=0)
+    large = int(np.searchsorted(-n, -SMALL_GROUP))
+    for g, (at, size) in enumerate(zip(first[:large].tolist(), n[:large].tolist(), strict=True)):
+        np.add.reduce(values.take(order[at : at + size], axis=0), axis=0, out=sums[g])
     for k in range(1, SMALL_GROUP):
-        some = np.flatnonzero((n > k) & (n <= SMALL_GROUP))
-        if len(some) == 0:
+        end = int(np.searchsorted(-n, -k))
+        if end <= large:
             break
-        sums[some] += values[order[first[some] + k]]
+        sums[large:end] += values.take(order[first[large:end] + k], axis=0)
     return sums
 
 
@@ -481,12 +529,7 @@ def language_model_scores(
             c, cls = chunk.c.astype(np.float64), chunk.cls
             total = np.add.reduceat
             logs = model.in_class(c, cls)[chunk.tokens]
-            labels = cls[chunk.tokens]
-            for at in range(0, len(labels), MINIBATCH):
-                part = slice(at, at + MINIBATCH)
-                found = class_scores(model.weights, chunk.rows[part])
-                own = found[np.arange(len(found)), labels[part]].astype(np.float64)
-                logs[part] += own - np.log(np.exp(found, out=found).sum(axis=1, dtype=np.float64))
+            logs += own_scores(model.weights, chunk.rows, cls[chunk.tokens])
             columns = [
                 ids, pa.array(chunk.held), pa.array(chunk.lengths),
                 pa.array(total((c > 0)[chunk.tokens].astype(np.int64), chunk.starts)),

@@ -5,6 +5,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
+import zstandard
 
 from outfall.llm import maxent
 
@@ -85,6 +87,51 @@ def test_the_gradient_lowers_the_loss_of_a_row(docs):
     assert min(r["score"] - r["base_score"] for r in got) > 1
 
 
+def plain_step(model, rows, y, rate):
+    """A gradient step written down row by row."""
+    scores = model.weights[rows].sum(axis=1, dtype=np.float64) + model.weights[0]
+    gradient = np.exp(scores - scores.max(axis=1, keepdims=True))
+    gradient /= gradient.sum(axis=1, keepdims=True)
+    gradient[np.arange(len(y)), y] -= 1
+    for row in [0, *np.unique(rows)]:
+        change = gradient.sum(axis=0) if row == 0 else gradient[(rows == row).any(axis=1)].sum(axis=0)
+        model.squares[row] += (change**2).sum()
+        model.weights[row] -= rate * change / np.sqrt(model.squares[row])
+
+
+@pytest.mark.parametrize("n, rate", [(300, 1.0), (maxent.MINIBATCH + 700, 0.5)])
+def test_steps_are_those_of_plain_sums(n, rate):
+    rng = np.random.default_rng(n)
+    sums = {k: (10, 3) for k in range(maxent.CLASSES)}
+    chunk = type("Chunk", (), {})()
+    chunk.held, chunk.lengths, chunk.tokens = np.array([False, True]), np.array([n, 50]), np.arange(n + 50)
+    chunk.cls = rng.integers(0, maxent.CLASSES, n + 50)
+    # Groups of all sizes: some rows are met by a third of all tokens, some once.
+    kinds = 1 + (np.arange(maxent.KINDS) << maxent.FEATURE_BITS)
+    chunk.rows = (kinds + np.minimum(rng.zipf(1.3, (n + 50, maxent.KINDS)), 1 << maxent.FEATURE_BITS) - 1).astype(np.int32)
+    got, want, met = maxent.Model(sums), maxent.Model(sums), np.zeros((1 << maxent.FEATURE_BITS) * maxent.KINDS + 1)
+    maxent.train(got, chunk, met, rate)
+    order = np.arange(n)
+    np.random.default_rng(n).shuffle(order)
+    for at in range(0, n, maxent.MINIBATCH):
+        part = order[at : at + maxent.MINIBATCH]
+        plain_step(want, chunk.rows[part], chunk.cls[part], rate)
+    assert np.allclose(got.weights, want.weights, atol=1e-4) and np.allclose(got.squares, want.squares, rtol=1e-4)
+    assert met[0] == n and met.sum() == n * (1 + maxent.KINDS)
+    scores = want.weights[chunk.rows].sum(axis=1, dtype=np.float64) + want.weights[0]
+    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
+    own = maxent.own_scores(got.weights, chunk.rows, chunk.cls)
+    assert np.allclose(own, scores[np.arange(n + 50), chunk.cls], atol=1e-3)
+
+
+def test_words_share_classes_by_their_last_two_letters():
+    words = ["a", "xab", "yab", "é", "xé", "日本語", "の本語", " "]
+    found = maxent.Words(zstandard.ZstdCompressor().compress("\n".join(words).encode()))
+    digest = lambda w: xxhash.xxh64_intdigest(w, maxent._SEED)
+    assert found.hashes.tolist() == [digest(w) for w in words]
+    assert found.shared.tolist() == [maxent.TOP_WORDS + digest(w[-2:]) % maxent.SHARED_CLASSES for w in words]
+
+
 def test_features_see_no_other_text():
     hashes = np.arange(6).astype(np.uint64)
     alone = maxent.features(hashes[3:], np.array([0]))
