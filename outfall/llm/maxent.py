@@ -51,6 +51,8 @@ MINIBATCH = 2048
 SLICE = 256
 #: Rows of a group up to which groups are summed side by side.
 SMALL_GROUP = 12
+#: Sums of powers between this and its reciprocal are safe in short floats.
+LEAST = 1e-30
 #: Bytes of text in a chunk; a longer text is a chunk of its own, or the last text of one.
 CHUNK_BYTES = 4 * 1024 * 1024
 #: Chunks that one task trains on about, and the fewest tasks where there are enough.
@@ -316,16 +318,44 @@ def class_scores(weights: np.ndarray, rows: np.ndarray, out: np.ndarray | None =
     return found
 
 
-def own_scores(weights: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
+class Powers:
+    """Powers of e by the weights, each row up to a factor of its own: shares of classes are products of rows."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+        table = weights.copy()
+        table[1 : 1 + (1 << FEATURE_BITS)] += weights[0]  # every token has one row of the first kind
+        table -= table.max(axis=1, keepdims=True)
+        self.table = np.exp(table, out=table)
+
+
+def own_scores(weights: np.ndarray | Powers, rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """The log probability of every token's class."""
-    logs = np.empty(len(labels), np.float64)
-    room = np.empty((2, SLICE, CLASSES), weights.dtype)
+    powers = weights if isinstance(weights, Powers) else Powers(weights)
+    table = powers.table
+    own, total = np.empty((2, len(labels)), np.float64)
+    room = np.empty((2, SLICE, CLASSES), table.dtype)
+    numbers = np.arange(SLICE)
     for at in range(0, len(labels), SLICE):
-        part = slice(at, at + SLICE)
-        n = len(labels[part])
-        found = class_scores(weights, rows[part], room[0, :n], room[1, :n])
-        own = found[np.arange(n), labels[part]].astype(np.float64)
-        logs[part] = own - np.log(np.exp(found, out=found).sum(axis=1, dtype=np.float64))
+        y = labels[at : at + SLICE]
+        i = numbers[: len(y)]
+        found, other = room[:, : len(y)]
+        kinds = rows[at : at + SLICE].T
+        np.take(table, kinds[0], axis=0, out=found, mode="clip")
+        for kind in kinds[1:-1]:
+            np.take(table, kind, axis=0, out=other, mode="clip")
+            found *= other
+        np.take(table, kinds[-1], axis=0, out=other, mode="clip")
+        np.multiply(found[i, y], other[i, y], out=own[at : at + SLICE])
+        total[at : at + SLICE] = np.einsum("ij,ij->i", found, other)
+    # Where the rows disagree so much that short floats do not hold the products, scores are summed instead.
+    far = np.flatnonzero(~((own > LEAST) & (total > LEAST)))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        logs = np.log(own / total)
+    for at in range(0, len(far), SLICE):
+        part = far[at : at + SLICE]
+        scores = class_scores(powers.weights, rows[part]).astype(np.float64)
+        logs[part] = scores[np.arange(len(part)), labels[part]] - np.log(np.exp(scores).sum(axis=1))
     return logs
 
 
@@ -356,38 +386,81 @@ def train(model: Model, chunk: Chunk, met: np.ndarray, rate: float) -> None:
     """Gradient steps over the training tokens of a chunk, in a fixed random order."""
     trained = np.flatnonzero(np.repeat(~chunk.held, chunk.lengths))
     np.random.default_rng(len(trained)).shuffle(trained)
-    weights = model.weights
     labels = chunk.cls[chunk.tokens[trained]]
-    room = np.empty((MINIBATCH, CLASSES), weights.dtype)
-    more = np.empty((SLICE, CLASSES), weights.dtype)
+    room = np.empty((MINIBATCH, CLASSES), model.weights.dtype)
     for at in range(0, len(trained), MINIBATCH):
         rows, y = chunk.rows[trained[at : at + MINIBATCH]], labels[at : at + MINIBATCH]
         gradient = room[: len(y)]
-        for start in range(0, len(y), SLICE):
-            part = gradient[start : start + SLICE]
-            class_scores(weights, rows[start : start + SLICE], part, more[: len(part)])
-            np.exp(part, out=part)
-            part /= part.sum(axis=1, keepdims=True)
-        gradient[np.arange(len(y)), y] -= 1
-        _step(model, met, np.zeros(1, np.int64), gradient.sum(axis=0, keepdims=True), np.array([len(y)]), rate)
-        for k in range(KINDS):
-            # Within its kind a row is a short number, and these are sorted by their digits.
-            order = np.argsort((rows[:, k] - (1 + (k << FEATURE_BITS))).astype(np.uint16), kind="stable")
-            ranked = rows[:, k][order]
-            first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            n = np.diff(first, append=len(ranked))
-            largest = np.argsort(-n, kind="stable")
-            first, n = first[largest], n[largest]
-            _step(model, met, ranked[first], _sums(gradient, order, first, n), n, rate)
-
-
-def _step(model: Model, met: np.ndarray, touched: np.ndarray, sums: np.ndarray, n: np.ndarray, rate: float) -> None:
-    """Change the rows ``touched``, each there once, by the ``sums`` of the gradients of ``n`` tokens. ``sums`` is used up."""
-    model.squares[touched] += np.einsum("ij,ij->i", sums, sums)
-    sums *= rate
-    sums /= np.sqrt(model.squares[touched])[:, None]
-    model.weights[touched] = np.subtract(model.weights.take(touched, axis=0), sums, out=sums)
+        lengths = _gradient(model.weights, rows, y, gradient)
+        whole = gradient.sum(axis=0, keepdims=True)
+        _step(model, met, np.zeros(1, np.int64), whole, np.einsum("ij,ij->i", whole, whole), np.array([len(y)]), rate)
+        # Rows of the kinds follow each other, and are short numbers without the first, which are sorted by their digits.
+        short = (rows.T - 1).astype(np.uint16).ravel()
+        order = np.argsort(short, kind="stable")
+        ranked = short[order]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        n = np.diff(first, append=len(ranked))
+        order %= len(y)  # the token of every place
+        largest = np.argsort((len(y) - n).astype(np.uint16), kind="stable")
+        first, n = first[largest], n[largest]
+        touched = ranked[first].astype(np.int64) + 1
+        alone = int(np.searchsorted(-n, -1))
+        sums = _sums(gradient, order, first[:alone], n[:alone])
+        _step(model, met, touched[:alone], sums, np.einsum("ij,ij->i", sums, sums), n[:alone], rate)
+        # Most rows are met by one token, whose gradient is the sum.
+        tokens = order[first[alone:]]
+        _step(model, met, touched[alone:], gradient, lengths[tokens], n[alone:], rate, tokens)
+
+
+def _gradient(weights: np.ndarray, rows: np.ndarray, labels: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Write the gradient of every token's scores to ``out``, and return the sums of their squares."""
+    lengths = np.empty(len(labels), out.dtype)
+    more = np.empty((SLICE, CLASSES), out.dtype)
+    numbers = np.arange(SLICE)
+    for at in range(0, len(labels), SLICE):
+        part, y = out[at : at + SLICE], labels[at : at + SLICE]
+        other, kinds = more[: len(part)], rows[at : at + SLICE].T
+        np.take(weights, kinds[0], axis=0, out=part, mode="clip")
+        for kind in kinds[1:]:
+            np.take(weights, kind, axis=0, out=other, mode="clip")
+            part += other
+        part += weights[0]
+        with np.errstate(over="ignore", invalid="ignore"):
+            total = np.exp(part, out=part).sum(axis=1)
+        if not (total.min() > LEAST and total.max() < 1 / LEAST):
+            # Short floats do not hold the powers unless the largest is made 1.
+            class_scores(weights, rows[at : at + SLICE], part, other)
+            total = np.exp(part, out=part).sum(axis=1)
+        part *= (1 / total)[:, None]
+        part[numbers[: len(y)], y] -= 1
+        lengths[at : at + SLICE] = np.einsum("ij,ij->i", part, part)
+    return lengths
+
+
+def _step(
+    model: Model, met: np.ndarray, touched: np.ndarray, sums: np.ndarray, squares: np.ndarray, n: np.ndarray, rate: float,
+    places: np.ndarray | None = None,
+) -> None:
+    """Change the rows ``touched``, each there once, by the ``sums`` of the gradients of ``n`` tokens.
+
+    ``squares`` are the sums of their squares; ``places`` says where in ``sums`` a row's is, if not at its own place.
+    """
     met[touched] += n
+    squares = model.squares[touched] + squares
+    model.squares[touched] = squares
+    factors = (rate / np.sqrt(squares))[:, None]
+    room = np.empty((2, min(SLICE, len(touched)), sums.shape[1]), sums.dtype)
+    for at in range(0, len(touched), SLICE):
+        some = touched[at : at + SLICE]
+        change, weights = room[:, : len(some)]
+        if places is None:
+            np.multiply(sums[at : at + SLICE], factors[at : at + SLICE], out=change)
+        else:
+            np.take(sums, places[at : at + SLICE], axis=0, out=change, mode="clip")
+            change *= factors[at : at + SLICE]
+        np.take(model.weights, some, axis=0, out=weights, mode="clip")
+        weights -= change
+        model.weights[some] = weights
 
 
 def _sums(values: np.ndarray, order: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -525,11 +598,12 @@ def language_model_scores(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
+        powers = Powers(model.weights)
         for chunk, ids in _chunks(batches, model.top):
             c, cls = chunk.c.astype(np.float64), chunk.cls
             total = np.add.reduceat
             logs = model.in_class(c, cls)[chunk.tokens]
-            logs += own_scores(model.weights, chunk.rows, cls[chunk.tokens])
+            logs += own_scores(powers, chunk.rows, cls[chunk.tokens])
             columns = [
                 ids, pa.array(chunk.held), pa.array(chunk.lengths),
                 pa.array(total((c > 0)[chunk.tokens].astype(np.int64), chunk.starts)),
