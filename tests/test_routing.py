@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from outfall.operators import metrics, routing, selflogs
 from outfall.operators.buffer import is_buffered, lost_messages, with_buffer_edges
 from outfall.operators.selectors import with_kinds
-from outfall.operators.skew import fits_broadcast, skew_join
+from outfall.operators.skew import TASK_SHARES, fits_broadcast, skew_join
 from outfall.schema import BINDING, ENVELOPE
+from outfall.session import settle
 
 
 def log(i, app, payload=b"x", ns=None):
@@ -82,6 +83,43 @@ def test_a_key_is_dealt_out_by_what_it_gives(spark, n_left, n_right):
     assert joined.select("id", "j").distinct().count() == n_left * n_right
 
 
+def test_a_small_settled_file_is_dealt_out_by_what_it_makes(spark):
+    """Joined by broadcast, a single file of few rows that have many matches is not left to a single task."""
+    left = settle(spark.range(300, numPartitions=1).select(F.lit("a").alias("k"), "id").unionByName(spark.createDataFrame([(None, -1), ("b", -2)], "k string, id long")))
+    right = spark.range(200).select(F.lit("a").alias("k"), F.col("id").alias("j"))
+
+    def sizes(**options):
+        joined = skew_join(left.coalesce(1), right, ["k"], ["id"], **options)
+        assert joined.select("id", "j").distinct().count() == joined.count() == 60_000
+        return [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+
+    dealt = sizes(task_rows=1000, is_settled=True)
+    assert len(dealt) > 8 and max(dealt) < 60_000 / 4
+    assert len(sizes(task_rows=60_000, is_settled=True)) == len(sizes(task_rows=1000)) == 1
+
+
+def test_tasks_that_make_many_rows_are_not_merged(spark):
+    left, right = (spark.range(2000).select(F.pmod("id", F.lit(20)).alias("k"), F.col("id").alias(name)) for name in ("i", "j"))
+    joined = skew_join(left, right, ["k"], ["i"], max_broadcast_bytes=0, task_rows=1000)
+    assert joined.rdd.getNumPartitions() == 2000 * 100 // (1000 * TASK_SHARES)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 200_000 and len(sizes) > 10
+
+
+def test_ingress_is_counted_without_pairs(spark):
+    rng = random.Random(3)
+    envelopes = [log(i, rng.choice(["a", "b", "c"])) for i in range(40)] + [gauge(100 + i, "a", {}) for i in range(7)] + [log(7, "a"), log(8, None)]
+    drains = [(rng.choice(["a", "b", None]), f"syslog://h{i % 5}{rng.choice(['', '?drain-type=all', '?drain-type=metrics'])}") for i in range(30)]
+    bindings = with_kinds(spark.createDataFrame([(a, "h", d) for a, d in drains], BINDING), True)
+    env = spark.createDataFrame(envelopes, ENVELOPE).select("env_id", "source_id", "kind")
+    shared = bindings.withColumn("replicas", F.length("drain") % 2 + 1).withColumn("replica", F.col("replicas") - 1)
+    for table in (bindings, shared, bindings.limit(0)):
+        pairs = routing.own_share(routing.fan_out(env, table))
+        counted = routing.own_share(routing.fan_out(env, routing.by_choice(table)))
+        assert metrics.ingress(counted, "bindings").collect() == metrics.ingress(pairs).collect()
+        assert counted.count() < pairs.count() or pairs.isEmpty()
+
+
 def test_size_check(spark):
     assert fits_broadcast(spark.range(10), 1000)
     assert not fits_broadcast(spark.range(1000), 1000)
